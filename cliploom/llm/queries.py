@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cliploom.llm import ngram_join
+from cliploom.llm import ngram_join, packing, pairwise_quality, suffix_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +18,34 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_documents(spark, sf_dir), k=4, percent=85)
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove(_documents(spark, sf_dir), width=400).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir), _tokenizer(), capacity=4096)
+
+
+def remainder(column: str):
+    """crc32 of the id as text, mod 3; rows with 1 are held out."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % 3
+
+
+def op9_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    model = pairwise_quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), use=remainder("id") != 1)
+    scored = pairwise_quality.score(docs, model)
+    return scored.select("doc_id", F.coalesce(remainder("doc_id") == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join,)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_suffix_array_dedup, op6_best_fit_packing, op9_pairwise_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
