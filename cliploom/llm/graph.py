@@ -1,9 +1,9 @@
-"""Distributed union-find: connected components, and components of a similarity graph grown from postings."""
+"""Distributed union-find: connected components, and components of a similarity graph given by postings."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,34 +42,79 @@ def components(ws: Workspace, links: DataFrame) -> DataFrame:
     )
 
 
-def grow(ws: Workspace, postings: DataFrame, verify: Callable[[DataFrame], DataFrame], star_rounds: int = 2) -> DataFrame:
-    """Components (id, component) of the verified links among ids that share a posting.
+def _resolve(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links (row, row) that join the rows' components; sets are sorted distinct tokens.
+
+    Rows are compared with all others through an inverted index, the most central first. A row need not be
+    compared if it is in the largest component of those not yet compared, so like rows cost one pass, not all pairs.
+    """
+    m, size = len(sets), np.array([len(x) for x in sets], np.int64)
+    col = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    row = np.repeat(np.arange(m), size)
+    begin = np.concatenate([[0], np.cumsum(size)])
+    by_col = row[np.argsort(col, kind="stable")]
+    count = np.bincount(col)
+    start = np.cumsum(count) - count
+    central = np.bincount(row, weights=count[col], minlength=m) / np.maximum(size, 1)
+    order = np.argsort(-central, kind="stable")
+    label, todo, links = np.arange(m), np.ones(m, bool), []
+    x = int(order[0]) if m > 1 else None
+    while x is not None:
+        todo[x] = False
+        c = col[begin[x] : begin[x + 1]]
+        n = count[c]
+        at = np.arange(n.sum()) + np.repeat(start[c] - (np.cumsum(n) - n), n)
+        both = np.bincount(by_col[at], minlength=m)
+        near = np.flatnonzero((100 * both >= percent * (size + size[x] - both)) & (both > 0) & (label != label[x]))
+        for y in near[np.unique(label[near], return_index=True)[1]].tolist():
+            links.append((x, y))
+        if len(near):
+            label[np.isin(label, label[near])] = label[x]
+        rest = order[todo[order]]
+        if not len(rest):
+            break
+        most = np.bincount(label[rest], minlength=m).argmax()
+        rest = rest[label[rest] != most]
+        x = int(rest[0]) if len(rest) else None
+    return links
+
+
+def _resolve_bucket(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("cluster", "ascending"), ("i", "ascending"), ("j", "ascending"), ("id", "ascending")])
+        key = np.stack([table.column(c).to_numpy() for c in ("cluster", "i", "j")])
+        ids = table.column("id").to_numpy()
+        cut = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)]))
+        a, b = [], []
+        for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(ids)], strict=True):
+            sets = [np.frombuffer(x, np.uint64) for x in table.column("tokens").slice(s, e - s).to_pylist()]
+            for x, y in _resolve(sets, percent):
+                a.append(int(ids[s + x]))
+                b.append(int(ids[s + y]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def similar(ws: Workspace, postings: DataFrame, items: DataFrame, percent: int, units: int, block: int = 1_000_000) -> DataFrame:
+    """(id, component) of the links among ids that share a posting; ids without a link aren't returned.
 
-    postings(sig, id): ids with a common sig are candidates. verify takes pairs(a, b), a < b, distinct, and
-    returns those that are links. Every candidate pair is either verified or skipped because both ends are
-    already known to be in one component, so no link between components is lost; a large group of like texts
-    costs one pair a member (a star on a leader), not all pairs. Ids without a link aren't returned.
+    postings(sig, id): ids with a common sig are candidates. items(id, tokens): each id's distinct tokens, 8
+    bytes each, sorted. Ids link when 100 * |intersection| >= percent * |union|. The candidates' connected
+    clusters are compared inside workers; a cluster of more than `block` tokens is cut into blocks by hash, and
+    every two blocks meet in a worker, so the rows in a worker are bounded and no pair is left out.
     """
     marks = postings.groupBy("sig").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(7))).alias("y")
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(7))).alias("y"), F.min("id").alias("lead")
     )
-    kept = marks.filter("n > 1").groupBy("n", "x", "y").agg(F.min("sig").alias("sig"))  # one posting of those with equal members
-    post = ws.save(postings.join(kept.select("sig"), "sig", "left_semi"))
-    links, comp = None, None
-    for step in range(star_rounds + 1):
-        held = post.withColumn("comp", F.col("id")) if comp is None else post.join(comp, "id", "left").select("sig", "id", F.coalesce("component", "id").alias("comp"))
-        leader = F.min("id") if step == 0 else F.max("id") if step == 1 else F.min_by("id", F.xxhash64("id", F.lit(step)))
-        lead = held.groupBy("sig").agg(leader.alias("leader"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1")
-        if step < star_rounds:
-            of = held.select(F.col("id").alias("leader"), F.col("comp").alias("lcomp")).distinct()
-            pairs = held.join(lead.select("sig", "leader"), "sig").filter("id <> leader").join(of, "leader").filter("comp <> lcomp").select(F.col("id").alias("x"), F.col("leader").alias("y"))
-        else:
-            open_ = ws.save(held.join(lead.select("sig"), "sig", "left_semi"))
-            left = open_.select("sig", F.col("id").alias("x"), F.col("comp").alias("cx"))
-            right = open_.select("sig", F.col("id").alias("y"), F.col("comp").alias("cy"))
-            pairs = left.join(right, "sig").filter("cx < cy")
-        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        found = ws.save(verify(pairs))
-        links = found if links is None else links.unionByName(found)
-        comp = ws.save(components(ws, links))
-    return comp
+    once = marks.filter("n > 1").groupBy("n", "x", "y").agg(F.min("sig").alias("sig"), F.first("lead").alias("lead"))  # one posting of those with equal members
+    clusters = components(ws, postings.join(once.select("sig", "lead"), "sig").select(F.col("id").alias("a"), F.col("lead").alias("b")))
+    rows = ws.save(items.hint("merge").join(clusters.withColumnRenamed("component", "cluster"), "id").select("id", "cluster", "tokens"))
+    blocks = rows.groupBy("cluster").agg(F.ceil(F.sum(F.octet_length("tokens")) / (8 * block)).alias("blocks"))
+    placed = rows.join(blocks, "cluster").withColumn("own", F.pmod(F.xxhash64("id"), "blocks"))
+    other = F.when(F.col("blocks") < 2, F.array(F.lit(0).cast("long"))).otherwise(F.filter(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda x: x != F.col("own")))
+    placed = placed.withColumn("other", F.explode(other))
+    placed = placed.select("id", "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "tokens")
+    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(units)))
+    links = ws.save(placed.groupBy("bucket").applyInArrow(_resolve_bucket(percent), "a long, b long"))
+    return ws.save(components(ws, links))

@@ -16,7 +16,7 @@ A document is the set of its k-word shingles (64-bit hashes). Two documents link
    class would leave more than n - t unshared tokens. So the two share a combination. Frequent classes are
    cut by hash into parts that hold about three prefix tokens each, which keeps the combinations linear in
    the text; the parts depend on the power of two below n, and a document near the next power signs for both.
-4. Verify candidates on the sets, growing components (see graph.grow).
+4. Verify candidates on the sets (see graph.similar).
 """
 
 from __future__ import annotations
@@ -187,18 +187,6 @@ def _signatures(percent: int, classes: tuple):
     return run
 
 
-def _overlaps(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = []
-            for x, y in zip(b.column("ta").to_pylist(), b.column("tb").to_pylist(), strict=True):
-                both = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) // 8 + len(y) // 8 - both))
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return run
-
-
 def join(docs: DataFrame, k: int = 5, percent: int = 80, classes: tuple = CLASSES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) for every row of docs.
 
@@ -214,30 +202,23 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, classes: tuple = CLASSE
     sizes = ws.save(tally(rows, units, k))
     free_shuffles(spark)
     live = sizes.filter((F.col("n") > 0) & (F.col("shared") >= needed_col("n", percent)))
-    sets = ws.save(rows.join(live.select("id"), "id", "left_semi").mapInArrow(_tokens(k), "id long, key binary, tokens binary"))
+    sets = ws.save(rows.hint("merge").join(live.select("id"), "id", "left_semi").mapInArrow(_tokens(k), "id long, key binary, tokens binary"))
     free_shuffles(spark)
     members = ws.save(sets.groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("m")))
-    member_of = sets.select("id", "key").join(members, "key").select("id", "rep").distinct()
-    reps = ws.save(sets.join(members.select(F.col("rep").alias("id"), "key"), ["id", "key"], "left_semi").dropDuplicates(["id"]).select("id", "tokens"))
+    member_of = ws.save(sets.select("id", "key").hint("merge").join(members, "key").select("id", "rep").distinct())
+    reps = ws.save(sets.hint("merge").join(members.select(F.col("rep").alias("id"), "key"), ["id", "key"], "left_semi").dropDuplicates(["id"]).select("id", "tokens"))
     left = tally(reps, units)
     kept = left.filter(F.col("shared") >= needed_col("n", percent)).select("id", "n")
-    work = ws.save(reps.join(kept, "id"))
-    ws.drop(reps)
+    work = ws.save(reps.hint("merge").join(kept, "id"))
+    ws.drop(reps, sets)
     exploded = ws.save(work.mapInArrow(_explode, "id long, n long, h long"))
     df = exploded.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
-    listed = exploded.join(df, "h").groupBy("id", "n").agg(F.collect_list(F.struct("h", "df")).alias("t")).select("id", "n", F.col("t.h").alias("h"), F.col("t.df").alias("df"))
+    listed = exploded.hint("merge").join(df, "h").groupBy("id", "n").agg(F.collect_list(F.struct("h", "df")).alias("t")).select("id", "n", F.col("t.h").alias("h"), F.col("t.df").alias("df"))
     postings = ws.save(listed.mapInArrow(_signatures(percent, classes), "sig long, id long"))
     ws.drop(exploded)
     free_shuffles(spark)
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        size = work.select(F.col("id").alias("a"), F.col("n").alias("na"))
-        other = work.select(F.col("id").alias("b"), F.col("n").alias("nb"))
-        near = pairs.join(size, "a").join(other, "b").filter(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b")
-        both = near.join(work.select(F.col("id").alias("a"), F.col("tokens").alias("ta")), "a").join(work.select(F.col("id").alias("b"), F.col("tokens").alias("tb")), "b")
-        return both.select("a", "b", "ta", "tb").mapInArrow(_overlaps(percent), "a long, b long")
-
-    comp = graph.grow(ws, postings, verify)
+    comp = graph.similar(ws, postings, work.select("id", "tokens"), percent, units)
     # A rep is the smallest id of its class, so the smallest rep of a component is the smallest id in it.
     found = member_of.join(comp.withColumnRenamed("id", "rep"), "rep", "left").groupBy("id").agg(F.min(F.coalesce("component", "rep")).alias("component"))
     return sizes.select("id", "n").join(found, "id", "left").select(
