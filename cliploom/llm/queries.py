@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cliploom.llm import ngram_join, packing, pairwise_quality, suffix_dedup
+from cliploom.llm import bm25, line_dedup, line_frequency, ngram_join, packing, pairwise_quality, sharding, sp_suffix, suffix_dedup, url_rules
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,14 +22,35 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove(_documents(spark, sf_dir), width=400).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-def _tokenizer() -> str:
+def op3_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(_documents(spark, sf_dir), shards=24)
+
+
+def op4_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(_documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "kept_sha256")
+
+
+def op5_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return bm25.search(docs, docs.filter("doc_id % 100 = 0"), k=10).withColumn("score", F.round("score", 6))
+
+
+def tokenizer() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_documents(spark, sf_dir), _tokenizer(), capacity=4096)
+    return packing.pack(_documents(spark, sf_dir), tokenizer(), capacity=4096)
+
+
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op8_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_frequency.judge(_documents(spark, sf_dir))
 
 
 def remainder(column: str):
@@ -44,8 +65,18 @@ def op9_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(remainder("doc_id") == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op10_suffix_array_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return sp_suffix.digests(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_suffix_array_dedup, op6_best_fit_packing, op9_pairwise_quality)}
+    each = (
+        op1_ngram_jaccard_join, op2_suffix_array_dedup, op3_jump_sharding, op4_fuzzy_line_dedup, op5_block_max_search,
+        op6_best_fit_packing, op7_url_rules, op8_line_frequency, op9_pairwise_quality, op10_suffix_array_pieces,
+    )
+    return {f.__name__: f for f in each}
 
 
 def oracle_sql() -> dict[str, str]:
