@@ -265,8 +265,40 @@ def remove(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str =
     table gives an empty result; a null id is one id like any other; extra columns are ignored.
     """
     ws = Workspace(docs.sparkSession, "suffix")
-    rows = plain(docs, id_col, text_col).toDF("id", "text")
-    rows = rows.select(F.coalesce("id", F.lit(-(2**63))).alias("id"), F.xxhash64("id", "text").alias("th"), "text")
+    rows = plain(docs, id_col, text_col).select(*(c.alias(k) for k, c in _keys(id_col, text_col).items()), F.col(text_col).alias("text"))
     found = spans(ws, rows, width)
     out = rows.join(found, ["id", "th"], "left").mapInArrow(_cut, "id long, th long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
     return out.withColumn("doc_id", F.when(F.col("id") != -(2**63), F.col("id"))).select("doc_id", "th", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+
+
+def _keys(id_col: str, text_col: str) -> dict:
+    return {"id": F.coalesce(F.col(id_col), F.lit(-(2**63))), "th": F.xxhash64(id_col, text_col)}
+
+
+def clean(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with the repeated strings taken out of their texts; a document that thereby has no word left goes.
+
+    Of a character that a removed span cuts, the remaining bytes go too.
+    """
+    ws = Workspace(docs.sparkSession, "suffix")
+    keys = _keys(id_col, text_col)
+    found = spans(ws, docs.select(*(c.alias(k) for k, c in keys.items()), F.col(text_col).alias("text")), width)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), *(c.alias(k) for k, c in keys.items()))
+    rows = rows.hint("merge").join(found, ["id", "th"], "left").select(*[F.col(f"row.`{c}`") for c in docs.columns], F.col("spans").alias("_spans"))
+    names, at = docs.columns, docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in text_slices(batches, text_col):
+            texts, keep = s.column(at).to_pylist(), []
+            for i, spans in enumerate(s.column("_spans").to_pylist()):
+                if spans:
+                    raw, last, parts = texts[i].encode(), 0, []
+                    for a, b in _merged((x["s"], x["e"]) for x in spans):
+                        parts.append(raw[last:a])
+                        last = b
+                    texts[i] = (b"".join(parts) + raw[last:]).decode("utf-8", "ignore")
+                keep.append(not spans or bool(texts[i].strip()))
+            columns = [pa.array(texts, pa.string()) if i == at else s.column(i) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep, pa.bool_()))
+
+    return rows.mapInArrow(run, docs.schema)
