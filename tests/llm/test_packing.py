@@ -5,6 +5,7 @@ from itertools import combinations
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from cliploom.llm import packing
@@ -43,6 +44,15 @@ def test_whole_table(spark):
     assert used <= 1.02 * least
 
 
+def test_ids_equal_the_library():
+    t, own = Tokenizer.from_file(PATH), packing.WordIds(PATH)
+    odd = ["don't you're I'LL x's, 3.14 a.b,c ..., x.'s y,'t", "Straße ÉCOLE école e\u0301cole ﬁ ǅ İstanbul ΑΣ ας", "北京 abc北京. 1٢3 a_b #x ａ.", "a\u00a0b\u2003c\u0085d\x1ce", "<|endoftext|> x<|startoftext|>y", "the.The.THE,the , . 's", "ªº¼ aª.", ""]
+    odd += [r[0] for r in duckdb.sql("select text from '/root/testdata/sf0.01/documents.parquet' limit 300").fetchall()]
+    ids, offsets = own(pa.array(odd))
+    for text, a, b in zip(odd, offsets[:-1], offsets[1:], strict=True):
+        assert ids[a:b].tolist() == t.encode(text, add_special_tokens=False).ids, text
+
+
 def test_empty_and_repeated(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
     out = packing.pack(spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "a")], "doc_id long, text string"), PATH).collect()
