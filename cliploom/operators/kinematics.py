@@ -35,9 +35,14 @@ def with_angular_velocity(frames: DataFrame, q: Sequence[str], fps: float, names
     """Body-frame angular velocity of a quaternion (w, x, y, z)."""
     w = along(key, step)
     now, then = tuple(F.col(c) for c in q), tuple(F.lead(c).over(w) for c in q)
-    speeds = R.angular_velocity(now, then, fps)
-    ahead = frames.withColumns({f"_d{i}": F.when(then[0].isNotNull(), s) for i, s in enumerate(speeds)})
-    return ahead.withColumns({n: _spread(F.col(f"_d{i}"), w) for i, n in enumerate(names)}).drop("_d0", "_d1", "_d2")
+    ahead = frames.withColumns({f"_q{i}": c for i, c in enumerate(R.multiply(R.conjugate(now), then))})
+    ahead = ahead.withColumn("_s", F.sqrt(F.col("_q1") ** 2 + F.col("_q2") ** 2 + F.col("_q3") ** 2))
+    angle = 2 * F.atan2("_s", "_q0")
+    ahead = ahead.withColumn("_v", F.when(angle > math.pi, angle - 2 * math.pi).otherwise(angle) * fps)
+    axis = [F.when(F.col("_s") < 1e-15, F.lit(float(i == 1))).otherwise(F.col(f"_q{i}") / F.col("_s")) for i in (1, 2, 3)]
+    ahead = ahead.withColumns({f"_d{i}": a * F.col("_v") for i, a in enumerate(axis)})
+    spread = ahead.withColumns({n: _spread(F.col(f"_d{i}"), w) for i, n in enumerate(names)})
+    return spread.drop("_q0", "_q1", "_q2", "_q3", "_s", "_v", "_d0", "_d1", "_d2")
 
 
 def resample(frames: DataFrame, source: int, target: int, linear: Sequence[str] = (), quaternions: Sequence[Sequence[str]] = (), key: str = KEY, step: str = STEP) -> DataFrame:
@@ -59,11 +64,27 @@ def resample(frames: DataFrame, source: int, target: int, linear: Sequence[str]
     out = [F.col(key), F.col("_k").alias(step)]
     out += [lerp(F.col(c), after(c), F.col("_t")).alias(c) for c in linear]
     for q in quaternions:
-        turned = R.slerp(tuple(F.col(c) for c in q), tuple(after(c) for c in q), F.col("_t"))
-        out += [p.alias(c) for p, c in zip(turned, q, strict=True)]
+        made = _turned(made, q, after)
+        out += [F.col(c) for c in q]
     return made.select(*out)
 
 
+def _turned(rows: DataFrame, q: Sequence[str], after) -> DataFrame:
+    """q turned towards after(q) by _t: the steps of rotations.slerp, each a projection, so that none is computed twice."""
+    a, b = R.normalize(tuple(F.col(c) for c in q)), R.normalize(tuple(after(c) for c in q))
+    rows = rows.withColumns({f"_{n}{i}": x for n, v in (("a", a), ("b", b)) for i, x in enumerate(v)})
+    dot = sum((F.col(f"_a{i}") * F.col(f"_b{i}") for i in range(1, 4)), F.col("_a0") * F.col("_b0"))
+    rows = rows.withColumn("_dot", dot).withColumn("_cos", F.least(F.abs("_dot"), F.lit(1.0))).withColumn("_angle", F.acos("_cos"))
+    rows = rows.withColumn("_sin", F.greatest(F.sin("_angle"), F.lit(1e-8)))
+    near = F.col("_cos") > 0.9995
+    wa = F.when(near, 1 - F.col("_t")).otherwise(F.sin((1 - F.col("_t")) * F.col("_angle")) / F.col("_sin"))
+    wb = F.when(near, F.col("_t")).otherwise(F.sin(F.col("_t") * F.col("_angle")) / F.col("_sin"))
+    rows = rows.withColumns({"_wa": wa, "_wb": wb * F.when(F.col("_dot") < 0, F.lit(-1.0)).otherwise(F.lit(1.0))})
+    rows = rows.withColumns({f"_q{i}": F.col(f"_a{i}") * F.col("_wa") + F.col(f"_b{i}") * F.col("_wb") for i in range(4)})
+    rows = rows.withColumn("_size", F.greatest(F.sqrt(sum((F.col(f"_q{i}") ** 2 for i in range(1, 4)), F.col("_q0") ** 2)), F.lit(1e-8)))
+    return rows.withColumns({c: F.col(f"_q{i}") / F.col("_size") for i, c in enumerate(q)})
+
+
 def clip_lengths(frames: DataFrame, key: str = KEY) -> DataFrame:
     return frames.groupBy(key).agg(F.count("*").alias("length"))
 
@@ -105,8 +126,14 @@ def heading_frame(rows: DataFrame, position: Sequence[str], q: Sequence[str], by
 
 def local_root_velocity(frames: DataFrame, velocity: Sequence[str], q: Sequence[str], names: Sequence[str]) -> DataFrame:
     """A world velocity in the root's own frame."""
-    turned = R.rotate(tuple(F.col(c) for c in q), tuple(F.col(c) for c in velocity), inverse=True)
-    return frames.withColumns(dict(zip(names, turned, strict=True)))
+    unit = frames.withColumns({f"_u{i}": x for i, x in enumerate(R.normalize(tuple(F.col(c) for c in q)))})
+    w, *u = (F.col(f"_u{i}") for i in range(4))
+    u, v = [-x for x in u], [F.col(c) for c in velocity]
+    cross = lambda a, b: [a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0]]
+    unit = unit.withColumns({f"_c{i}": 2 * x for i, x in enumerate(cross(u, v))})
+    turn = [F.col(f"_c{i}") for i in range(3)]
+    turned = [a + w * b + c for a, b, c in zip(v, turn, cross(u, turn), strict=True)]
+    return unit.withColumns(dict(zip(names, turned, strict=True))).drop("_u0", "_u1", "_u2", "_u3", "_c0", "_c1", "_c2")
 
 
 def feature_stats(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
