@@ -51,6 +51,9 @@ def _blob_sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return d, np.frombuffer(b"".join(blobs), np.uint64)
 
 
+#: Hash ranges at least: a document's tokens meet many ranges at any size, so the tally's rows grow as the tokens.
+FEWEST = 64
+
 CELLS = "bucket int, ids binary, sizes binary, home binary, counts binary, tokens binary, shared binary"
 
 
@@ -126,7 +129,7 @@ def tally(rows: DataFrame, units: int, k: int = 0) -> DataFrame:
     rows: (id, text), or (id, tokens) with 8 bytes a token. shared may be too large by hash collisions, never
     too small. Several rows of one id count as rows that share.
     """
-    tokens = "tokens" in rows.columns
+    tokens, units = "tokens" in rows.columns, max(units, FEWEST)
     cells = rows.mapInArrow(_cells(units, k, tokens), CELLS)
     parts = cells.groupBy("bucket").applyInArrow(_tally, "id long, n long, shared long")
     return parts.groupBy("id").agg(F.max("n").alias("n"), F.sum("shared").alias("shared"))
