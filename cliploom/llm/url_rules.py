@@ -38,13 +38,15 @@ def tokens(url: str) -> Column:
     return F.when(F.col("host") == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.filter(found, lambda x: ~x.endswith("="))))
 
 
-def mine(items: DataFrame, support: float = 0.002, confidence: float = 0.5) -> DataFrame:
+def mine(items: DataFrame, support: float = 0.002, confidence: float = 0.5, least: int = 20) -> DataFrame:
     """Rules (rule, antecedent, confidence, support) for the bad label, from transactions(items).
 
-    Pruned by support and confidence, and of two rules the longer goes if the shorter one is contained in it
-    and no less confident. No labelled rows give no rules.
+    Pruned by support (a share of the transactions, and `least` of them) and confidence; of two rules the longer
+    goes if the shorter one is contained in it and no less confident. No labelled rows give no rules.
     """
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
+    n = items.count()
+    share = min(1.0, max(support, least / n)) if n else 1.0
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=confidence).fit(items)
     rules = model.associationRules.filter(F.array_contains("consequent", BAD)).select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support")
     rules = rules.withColumn("rule", F.array_join("antecedent", " & "))
     words = rules.select("rule", "confidence", F.size("antecedent").alias("n"), F.explode("antecedent").alias("token"))
@@ -66,7 +68,7 @@ def matches(rows: DataFrame, key: list[str], rules: DataFrame) -> DataFrame:
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"))
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules: tuple = RULES, support: float = 0.002, confidence: float = 0.5, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge(pages: DataFrame, labels: DataFrame, rules: tuple = RULES, support: float = 0.002, confidence: float = 0.5, least: int = 20, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """page_id, host, path, rule, verdict, mined_rule for each row of pages.
 
     The longest fitting rule decides; otherwise a page is blocked if a mined rule matches, else allowed. Labels
@@ -80,7 +82,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules: tuple = RULES, support: fl
     known = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.max(F.coalesce((F.col("quality") == 0) | (F.col("toxic") == 1), F.lit(False))).alias("bad"))
     labelled = rows.withColumn("doc_id", number).join(known, "doc_id").filter(F.size("items") > 0)
     labelled = labelled.select(F.when(F.col("bad"), F.concat("items", F.array(F.lit(BAD)))).otherwise(F.concat("items", F.array(F.lit("label=good")))).alias("items"))
-    mined = mine(labelled, support, confidence)
+    mined = mine(labelled, support, confidence, least)
     distinct = rows.filter("size(items) > 0").select("url", "items").distinct()
     hit = matches(distinct, ["url"], mined)
     fits = lambda h, p: ((F.col("host") == h) | F.col("host").endswith(f".{h}")) & F.col("path").startswith(p)

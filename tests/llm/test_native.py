@@ -59,7 +59,7 @@ def test_mined_rules(spark):
     rows = [(i, f"http://{'bad' if i % 3 == 0 else 'good'}.example.org/{'casino' if i % 2 else 'news'}/{i}") for i in range(120)]
     pages = spark.createDataFrame(rows, "page_id long, url string")
     labels = spark.createDataFrame([(i, 0 if i % 3 == 0 and i % 2 else 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
-    out = {r.page_id: (r.verdict, r.mined_rule) for r in url_rules.judge(pages, labels, support=0.05, confidence=0.9).collect()}
+    out = {r.page_id: (r.verdict, r.mined_rule) for r in url_rules.judge(pages, labels, support=0.05, confidence=0.9, least=3).collect()}
     assert all(out[i][0] == ("block" if i % 3 == 0 and i % 2 else "allow") for i in range(120))
 
 
