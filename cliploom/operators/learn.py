@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -33,6 +34,14 @@ class Encoder:
         layers = [(rng.normal(0, 1 / np.sqrt(i * size), (o, i, size)), np.ones(o), np.zeros(o)) for i, o in zip(widths, widths[1:], strict=False)]
         return cls(layers, seconds)
 
+    def to_json(self) -> str:
+        return json.dumps({"seconds": self.seconds, "layers": [[w.tolist(), a.tolist(), b.tolist()] for w, a, b in self.layers]})
+
+    @classmethod
+    def from_json(cls, text: str) -> Encoder:
+        held = json.loads(text)
+        return cls([tuple(np.array(x) for x in layer) for layer in held["layers"]], held["seconds"])
+
     def latent(self, x: np.ndarray) -> np.ndarray:
         """[windows, channels, size] -> [windows, latent, size]."""
         for weight, scale, shift in self.layers:

@@ -270,6 +270,11 @@ def cache_key(root: str, fps: float, files: Sequence[str], model: str = "", vers
     return hashlib.sha256(json.dumps([version, str(root), fps, model, stats], sort_keys=True).encode()).hexdigest()[:16]
 
 
+def is_current(meta: dict, wanted: dict) -> bool:
+    """Whether a cache's recorded settings (version, source key, window, rate, stride, ...) are all as wanted."""
+    return all(meta.get(k) == v for k, v in wanted.items())
+
+
 def cached(spark: SparkSession, folder: str, key: str, build) -> DataFrame:  # noqa: ANN001
     """The table under folder/key, built once; Spark's commit protocol publishes it whole or not at all."""
     path = f"{folder}/{key}"
