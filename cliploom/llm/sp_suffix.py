@@ -13,10 +13,13 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -51,20 +54,22 @@ class Model:
 
 
 class SuffixArray:
-    """Suffixes of a text of small integers, sorted by their first `depth` symbols (0 ends a chunk)."""
+    """Suffixes of a text of code points, sorted by their first `depth` symbols (0 ends a chunk)."""
 
     def __init__(self, codes: np.ndarray, depth: int) -> None:
-        self.alphabet = np.unique(codes)
-        self.bits = max(1, int(len(self.alphabet)).bit_length())
+        alphabet = np.flatnonzero(np.bincount(codes))
+        self.dense = np.full(0x110000, -1, np.int64)
+        self.dense[alphabet] = np.arange(len(alphabet)) + (alphabet[0] != 0 if len(alphabet) else 0)
+        self.bits = max(1, int(len(alphabet)).bit_length())
         self.per = 64 // self.bits
         self.words = -(-depth // self.per)
-        dense = np.searchsorted(self.alphabet, codes).astype(np.uint64)
-        padded = np.concatenate([dense, np.zeros(self.per * self.words, np.uint64)])
+        padded = np.concatenate([self.dense[codes].astype(np.uint64), np.zeros(self.per * self.words, np.uint64)])
         keys = []
         for w in range(self.words):
             key = np.zeros(len(codes), np.uint64)
             for j in range(self.per):
-                key = (key << np.uint64(self.bits)) | padded[w * self.per + j :][: len(codes)]
+                key <<= np.uint64(self.bits)
+                key |= padded[w * self.per + j :][: len(codes)]
             keys.append(key)
         self.order = np.lexsort(keys[::-1])
         self.sorted = self._bytes(np.stack([k[self.order] for k in keys], axis=1))
@@ -72,21 +77,21 @@ class SuffixArray:
     def _bytes(self, keys: np.ndarray) -> np.ndarray:
         return np.ascontiguousarray(keys.astype(">u8")).view(f"S{8 * self.words}").reshape(-1)
 
-    def ranges(self, patterns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """For each pattern (codes of the alphabet) the range of suffixes that start with it."""
-        low = np.zeros((len(patterns), self.words), np.uint64)
-        high = np.zeros((len(patterns), self.words), np.uint64)
-        size = self.bits
-        for i, p in enumerate(patterns):
-            dense = np.searchsorted(self.alphabet, p).tolist()
-            for w in range(self.words):
-                part = dense[w * self.per : (w + 1) * self.per]
-                value = 0
-                for c in part:
-                    value = value << size | c
-                rest = size * (self.per - len(part))
-                low[i, w], high[i, w] = value << rest, (value << rest) | ((1 << rest) - 1)
-        return np.searchsorted(self.sorted, self._bytes(low), "left"), np.searchsorted(self.sorted, self._bytes(high), "right")
+    def ranges(self, codes: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Patterns are rows of codes, size symbols each: which of them may occur, and their ranges of suffixes."""
+        inside = np.arange(codes.shape[1]) < size[:, None]
+        dense = np.where(inside, self.dense[codes], 0)
+        which = np.flatnonzero((dense >= 0).all(axis=1) & (size <= self.per * self.words))
+        dense, inside = dense[which].astype(np.uint64), inside[which]
+        low, high = np.zeros((2, len(which), self.words), np.uint64)
+        one = np.uint64((1 << self.bits) - 1)
+        for w in range(self.words):
+            for j in range(self.per):
+                at = w * self.per + j
+                held = at < codes.shape[1]
+                low[:, w] = (low[:, w] << np.uint64(self.bits)) | (dense[:, at] if held else np.uint64(0))
+                high[:, w] = (high[:, w] << np.uint64(self.bits)) | (np.where(inside[:, at], dense[:, at], one) if held else one)
+        return which, np.searchsorted(self.sorted, self._bytes(low), "left"), np.searchsorted(self.sorted, self._bytes(high), "right")
 
 
 class Encoder:
@@ -94,23 +99,27 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         self.model = Model(path)
-        self.known: dict[str, np.ndarray] = {}
-        self.codes = {int(i): np.array([ord(c) for c in self.model.piece[i]], np.int64) for i in self.model.ids}
+        pieces = [self.model.piece[i] for i in self.model.ids]
+        self.size = np.array([len(p) for p in pieces], np.int64)
+        self.codes = np.array([[ord(c) for c in p.ljust(self.model.longest, "\0")] for p in pieces], np.int64)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.ends = array("i"), array("q", [0])
 
     def edges(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All occurrences of pieces in a text of code points: sorted start * 32 + length, and the piece."""
-        array = SuffixArray(text, self.model.longest)
-        held = set(array.alphabet.tolist())
-        ids = [i for i, c in self.codes.items() if held.issuperset(c.tolist())]
-        lo, hi = array.ranges([self.codes[i] for i in ids])
+        suffixes = SuffixArray(text, self.model.longest)
+        which, lo, hi = suffixes.ranges(self.codes, self.size)
         n = hi - lo
-        start = array.order[np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)]
-        key = start * 32 + np.repeat(np.array([len(self.codes[i]) for i in ids], np.int64), n)
+        start = suffixes.order[np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)]
+        key = start * 32 + np.repeat(self.size[which], n)
         order = np.argsort(key)
-        return key[order], np.repeat(np.array(ids, np.int64), n)[order]
+        return key[order], np.repeat(self.model.ids[which], n)[order]
 
-    def relax(self, chunks: list[str]) -> list[np.ndarray]:
-        """Ids of distinct chunks (spaces already as the space symbol)."""
+    def relax(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct chunks (spaces already as the space symbol), and each chunk's end in them."""
         joined = np.frombuffer(("\0".join(chunks) + "\0").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         size = np.array([len(c) for c in chunks], np.int64)
         first = np.cumsum(size + 1) - (size + 1)
@@ -144,8 +153,9 @@ class Encoder:
             moved = np.cumsum(~drop) - 1
             keep = ~drop
             start, end, chunk, cost = start[keep], end[keep], chunk[keep], cost[keep]
-            again = moved[hit]
-            again = np.unique(np.concatenate([again, again[again > 0] - 1]))
+            mark = np.zeros(len(start) + 1, bool)
+            mark[moved[hit]] = mark[moved[hit] - 1] = True  # -1 falls on the spare place
+            again = np.flatnonzero(mark[:-1])
             cost[again] = self._costs(find, start, end, chunk, worst, again)
         for i in np.flatnonzero(size > SHORT).tolist():
             a, b = self._queue(find, int(first[i]), int(size[i]))
@@ -155,8 +165,16 @@ class Encoder:
         order = np.argsort(start)
         start, end = start[order], end[order]
         ids = find(start, end)
-        cut = np.searchsorted(start, np.concatenate([first, [len(joined)]]))
-        return [self._bytes(ids[a:b], joined, start[a:b]) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+        ends = np.searchsorted(start, np.append(first[1:], len(joined)))
+        odd = np.flatnonzero(ids < 0)  # symbols without a piece become byte pieces
+        if len(odd):
+            raw = [[self.model.byte[b] for b in chr(joined[x]).encode("utf-8", "surrogatepass")] for x in start[odd].tolist()]
+            more = np.ones(len(ids), np.int64)
+            more[odd] = [len(r) for r in raw]
+            held = np.repeat(ids, more)
+            held[np.repeat(ids < 0, more)] = [b for r in raw for b in r]
+            ids, ends = held, np.concatenate([[0], np.cumsum(more)])[ends]
+        return ids.astype(np.int32), ends
 
     def _costs(self, find, start, end, chunk, worst, at=None) -> np.ndarray:
         """Rank and position of the edge over each symbol and its right neighbour."""
@@ -200,24 +218,47 @@ class Encoder:
         at = [i for i in range(n) if alive[i]]
         return np.array(at) + first, np.array([end[i] for i in at])
 
-    def _bytes(self, ids: np.ndarray, text: np.ndarray, start: np.ndarray) -> np.ndarray:
-        if (ids >= 0).all():
-            return ids.astype(np.int32)
-        out: list[int] = []
-        for i, s in zip(ids.tolist(), start.tolist(), strict=True):
-            out += [i] if i >= 0 else [self.model.byte[b] for b in chr(text[s]).encode("utf-8", "surrogatepass")]
-        return np.array(out, np.int32)
-
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text; empty and null texts have none."""
+    def __call__(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids and the rows' offsets; empty and null texts have none.
+
+        A chunk of one space and a word goes by the word. Texts without other spaces are split in Arrow.
+        """
+        text = pc.fill_null(text, "")
+        other = pc.match_substring_regex(text, "^ |  | $|^$").to_numpy(zero_copy_only=False)
+        split = pc.split_pattern(pc.if_else(pa.array(other), "", text), " ")
+        flat, offsets = split.flatten(), split.offsets.to_numpy().astype(np.int64)
+        coded = flat.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        slow = {i: [c[1:] if c[:2].strip(" ") else c for c in re.findall(" +[^ ]*", " " + text[i].as_py())] if text[i].as_py() else [] for i in np.flatnonzero(other).tolist()}
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        split = [re.findall(" +[^ ]*", " " + t) if t else [] for t in texts]
-        fresh = list({c for chunks in split for c in chunks if c not in self.known})
+            self._forget()
+        fresh = list(dict.fromkeys(c for chunks in ([d for d in distinct if d], *slow.values()) for c in chunks if c not in self.known))
         if fresh:
-            self.known.update(zip(fresh, self.relax([c.replace(" ", SPACE) for c in fresh]), strict=True))
-        none = np.empty(0, np.int32)
-        return [np.concatenate([self.known[c] for c in chunks]) if chunks else none for chunks in split]
+            ids, ends = self.relax([(c if c[0] == " " else " " + c).replace(" ", SPACE) for c in fresh])
+            first = len(self.ends) - 1
+            self.known.update(zip(fresh, range(first, first + len(fresh)), strict=True))
+            ends = ends + len(self.ids)
+            self.ids.frombytes(ids.tobytes())
+            self.ends.frombytes(ends.astype(np.int64).tobytes())
+        which = np.array([self.known.get(d, -1) for d in distinct], np.int64)
+        chunk = which[coded.indices.to_numpy()] if len(distinct) else np.empty(0, np.int64)
+        size = np.diff(offsets)
+        if slow:
+            rows = np.split(chunk, offsets[1:-1])
+            for i, chunks in slow.items():
+                rows[i] = np.array([self.known[c] for c in chunks], np.int64)
+            chunk, size = np.concatenate(rows), np.array([len(r) for r in rows], np.int64)
+        ends, table = np.frombuffer(self.ends, np.int64), np.frombuffer(self.ids, np.int32)
+        begin, n = ends[chunk], ends[chunk + 1] - ends[chunk]
+        last = np.cumsum(n)
+        at = np.arange(last[-1] if len(last) else 0) + np.repeat(begin - (last - n), n)
+        return table[at], np.concatenate([[0], last])[np.concatenate([[0], np.cumsum(size)])]
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """A worker's encoder: chunks that it has met stay known in later tasks."""
+    return Encoder(path)
 
 
 class Decoder:
@@ -232,6 +273,11 @@ class Decoder:
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=1)
+def decoder_of(path: str) -> Decoder:
+    return Decoder(path)
+
+
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", name: str = "ids") -> DataFrame:
     """docs with an array<int> column of ids. Null and empty texts get an empty array."""
     names, width = docs.columns, len(docs.columns)
@@ -239,10 +285,11 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", name: str =
         raise ValueError(f"there is a column {name} already")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model_path)
+        encoder = encoder_of(model_path)
         for b in text_slices(batches, text_col):
-            ids = encoder(b.column(text_col).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns[:width], pa.array(ids, pa.list_(pa.int32()))], names=[*names, name])
+            ids, offsets = encoder(b.column(text_col))
+            arrays = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*b.columns[:width], arrays], names=[*names, name])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType()))]))
 
@@ -254,7 +301,7 @@ def decode(rows: DataFrame, model_path: str, ids_col: str = "ids", name: str = "
         raise ValueError(f"there is a column {name} already")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(model_path)
+        decoder = decoder_of(model_path)
         for b in batches:
             texts = [None if x is None else decoder(x) for x in b.column(ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:width], pa.array(texts, pa.string())], names=[*names, name])
@@ -270,11 +317,13 @@ def digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = Encoder(model_path), Decoder(model_path)
-        for b in text_slices(batches):
-            texts = b.column("text").to_pylist()
-            ids = encoder(texts)
-            out = [(len(x), zlib.crc32(x.astype("<i4").tobytes()), decoder(x.tolist()) == (t or "")) for x, t in zip(ids, texts, strict=True)]
+        encoder, decoder = encoder_of(model_path), decoder_of(model_path)
+        for b in text_slices(batches, limit=12 << 20):
+            ids, offsets = encoder(b.column("text"))
+            out = []
+            for t, x, y in zip(b.column("text").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                own = ids[x:y]
+                out.append((y - x, zlib.crc32(own.astype("<i4").tobytes()), decoder(own.tolist()) == (t or "")))
             n, crc, same = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(same)], names=["doc_id", "n_tokens", "ids_crc32", "round_trip"])
 
