@@ -8,7 +8,8 @@ independent groups by anchor hash, without any string being cut:
 1. A pass over the texts lists anchors: (gram hash, hash of the region, document, region). About one anchor
    per 185 bytes, no text.
 2. Anchors that occur once can't hold a repeat and go. Equal regions are counted and become one class.
-3. Only one representative of each class of a shared anchor brings its region's bytes. In each bin of anchor
+3. (Regions of an anchor over GROUP bytes are cut into blocks; every two blocks meet in a worker, so groups are
+   bounded and no pair of regions is left out.) Only one representative of each class of a shared anchor brings its region's bytes. In each bin of anchor
    hashes an enhanced suffix array is built over the suffixes whose first `width` bytes recur; a stack scan of
    its common-prefix interval tree tests each interval for left-extension diversity and yields the maximal
    repeats with all occurrences.
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 from cliploom.llm._util import Workspace, free_shuffles, mix, plain, text_slices, work_units
 
 GRAM = 32
+#: Bytes of different regions about one anchor that are compared in one worker; more are cut into blocks by hash.
+GROUP = 8 << 20
 _BYTE = mix(np.arange(256, dtype=np.uint64))
 _ODD = [np.uint64(int(x) | 1) for x in mix(np.arange(1000, 1064, dtype=np.uint64))]
 
@@ -103,15 +106,19 @@ def _anchors(width: int, gram: int):
 
 
 def _fetch(bins: int):
-    """Region bytes of the representatives that a document holds."""
+    """Region bytes of the representatives that a document holds, once for each pair of blocks that they are in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in text_slices(batches):
             out = []
             for text, want in zip(s.column("text").cast(pa.binary()).to_pylist(), s.column("want").to_pylist(), strict=True):
-                out += [((x["h"] & 0x7FFFFFFFFFFFFFFF) % bins, x["h"], x["rh"], x["n"], text[x["lo"] : x["hi"]]) for x in want]
+                for x in want:
+                    own, region = x["rh"] % x["blocks"], text[x["lo"] : x["hi"]]
+                    for other in [0] if x["blocks"] == 1 else [o for o in range(x["blocks"]) if o != own]:
+                        i, j = sorted((own, other))
+                        out.append((hash((x["h"], i, j)) % bins, x["h"], i, j, x["rh"], x["n"], region))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["bin", "h", "rh", "n", "region"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (*[pa.int64()] * 6, pa.binary()), strict=True)], names=["bin", "h", "i", "j", "rh", "n", "region"])
 
     return run
 
@@ -184,16 +191,17 @@ def maximal_repeats(texts: list[bytes], width: int) -> Iterator[tuple[int, list[
 
 def _repeats(width: int, chunk: int = 2 << 20):
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("h", "ascending"), ("rh", "ascending")])
-        h, rh, n, text = (table.column(c).to_pylist() for c in ("h", "rh", "n", "region"))
+        table = table.sort_by([(c, "ascending") for c in ("h", "i", "j", "rh")])
+        h, first, second, rh, n, text = (table.column(c).to_pylist() for c in ("h", "i", "j", "rh", "n", "region"))
+        group = list(zip(h, first, second, strict=True))
         out: list[tuple[int, int, int, int]] = []
         at = 0
         while at < len(h):
             end, held = at, 0
-            while end < len(h) and (held < chunk or h[end] == h[end - 1]):
+            while end < len(h) and (end == at or group[end] == group[end - 1] or held < chunk and h[end] != h[end - 1]):  # blocks of one anchor stay apart
                 held += len(text[end])
                 end += 1
-            rows = [i for i in range(at, end) if i == at or rh[i] != rh[i - 1] or h[i] != h[i - 1]]
+            rows = [i for i in range(at, end) if i == at or rh[i] != rh[i - 1] or group[i] != group[i - 1]]
             texts = [text[i] for i in rows] + [text[i] for i in rows if n[i] > 1]  # a class of several stands twice
             spans: dict[int, set[tuple[int, int]]] = {}
             for length, where in maximal_repeats(texts, width):
@@ -240,10 +248,10 @@ def spans(ws: Workspace, rows: DataFrame, width: int, gram: int = GRAM) -> DataF
     anchors = ws.save(rows.mapInArrow(_anchors(width, gram), "h long, rh long, id long, th long, lo long, hi long"))
     classes = anchors.groupBy("h", "rh").agg(F.count("*").alias("n"), F.min(F.struct("id", "th", "lo", "hi")).alias("rep"))
     classes = ws.save(classes)
-    often = classes.groupBy("h").agg(F.sum("n").alias("t")).filter("t > 1").select("h")
-    want = classes.join(often, "h", "left_semi").groupBy(F.col("rep.id").alias("id"), F.col("rep.th").alias("th"))
-    want = want.agg(F.collect_list(F.struct("h", "rh", "n", F.col("rep.lo").alias("lo"), F.col("rep.hi").alias("hi"))).alias("want"))
-    fetched = rows.join(want, ["id", "th"]).select("text", "want").mapInArrow(_fetch(units * 4), "bin long, h long, rh long, n long, region binary")
+    often = classes.groupBy("h").agg(F.sum("n").alias("t"), F.ceil(F.sum(F.col("rep.hi") - F.col("rep.lo")) / GROUP).alias("blocks")).filter("t > 1").select("h", "blocks")
+    want = classes.join(often, "h").groupBy(F.col("rep.id").alias("id"), F.col("rep.th").alias("th"))
+    want = want.agg(F.collect_list(F.struct("h", "rh", "n", "blocks", F.col("rep.lo").alias("lo"), F.col("rep.hi").alias("hi"))).alias("want"))
+    fetched = rows.join(want, ["id", "th"]).select("text", "want").mapInArrow(_fetch(units * 4), "bin long, h long, i long, j long, rh long, n long, region binary")
     found = ws.save(fetched.groupBy("bin").applyInArrow(_repeats(width), "h long, rh long, s long, e long"))
     ws.drop(classes)
     free_shuffles(spark)

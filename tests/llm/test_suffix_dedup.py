@@ -25,6 +25,15 @@ def test_equals_brute_force(spark):
     assert run(spark, rows, 60) == brute.repeats(rows, 60)
 
 
+def test_blocks_of_a_hot_anchor(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "GROUP", 600)
+    r = random.Random(9)
+    text = lambda n: "".join(r.choice("abcdefgh") for _ in range(n))
+    passage = text(90)
+    rows = [(i, text(r.randint(0, 80)) + passage[: r.choice([70, 90])] + text(r.randint(0, 80))) for i in range(60)]
+    assert run(spark, rows, 60) == brute.repeats(rows, 60)
+
+
 def test_whole_table(spark):
     rows = duckdb.sql("select doc_id, text from '/root/testdata/sf0.001/documents.parquet'").fetchall()
     assert run(spark, rows, 400) == brute.repeats(rows, 400)
