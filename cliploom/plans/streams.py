@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cliploom.plans.registry import plan
 from cliploom.plans.views import Views
-from cliploom.streaming import sessions, to_memory
+from cliploom.streaming import instants, micros, sessions, to_memory
 
 
 def _events(v: Views) -> DataFrame:
@@ -15,7 +15,7 @@ def _events(v: Views) -> DataFrame:
     path = f"{v.sf_dir}/events.parquet"
     schema = v.spark.read.parquet(path).schema
     whole = v.spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
-    return whole.parquet(f"{v.sf_dir}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
+    return instants(whole.parquet(f"{v.sf_dir}/events.parquet*"), "ts")
 
 
 @plan(
@@ -26,7 +26,7 @@ def stream_sessions(v: Views) -> DataFrame:
     """Sessions of events under an hour apart; at the end of the stream all are complete."""
     cents = _events(v).withColumn("cents", F.round(F.col("value") * 100).cast("long"))
     out = to_memory(v.spark, sessions(cents, "ts", "user_id", "1 hour", "400 days", "cents"), "complete")
-    return out.select("user_id", "n", "total", F.unix_micros("start").alias("started"))
+    return out.select("user_id", "n", "total", micros(F.col("start")).alias("started"))
 
 
 @plan()

@@ -1,5 +1,5 @@
 """Structured Streaming over frames that arrive in time order, an extension to the batch operators."""
 
-from cliploom.streaming.clips import running_velocity, sessions, to_memory, utc_timestamps
+from cliploom.streaming.clips import instants, micros, running_velocity, sessions, to_memory
 
-__all__ = ["running_velocity", "sessions", "to_memory", "utc_timestamps"]
+__all__ = ["instants", "micros", "running_velocity", "sessions", "to_memory"]

@@ -5,15 +5,18 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def utc_timestamps(rows: DataFrame, column: str) -> DataFrame:
-    """A zoneless timestamp as the instant that it names in UTC, as watermarks need."""
-    micros = F.unix_micros(F.to_utc_timestamp(F.col(column).cast("timestamp"), F.current_timezone()))
-    shifted = F.timestamp_micros(micros)
-    return rows.withColumn(column, F.from_utc_timestamp(shifted, F.current_timezone()))
+def instants(rows: DataFrame, column: str) -> DataFrame:
+    """A zoneless timestamp as an instant, as watermarks need; it is read in the session's zone."""
+    return rows.withColumn(column, F.col(column).cast("timestamp"))
+
+
+def micros(time: Column) -> Column:
+    """Microseconds from 1970 on an instant's clock in the session's zone: the inverse of instants, in any zone."""
+    return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), time.cast("timestamp_ntz"))
 
 
 def sessions(events: DataFrame, time: str, key: str, gap: str, late: str, value: str) -> DataFrame:
