@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cliploom.functions import angle_between, axis_angle, euler, multiply, normalize, reorder_xyzw, rot6d, rotate, slerp, yaw
-from cliploom.operators import checks, kinematics, learn, physics, segments
+from cliploom.functions import angle_between, axis_angle, euler, multiply, normalize, reorder_xyzw, rot6d, rotate, yaw
+from cliploom.operators import checks, kinematics, learn, physics
 from cliploom.plans.registry import plan
 from cliploom.plans.views import FPS, Views, r9
 
