@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from cliploom.operators.select import global_rank
+
 
 def merge_runs(segments: DataFrame, source: str, start: str, end: str) -> DataFrame:
     """(source, run, start, end, parts, use_suffix): segments that touch become one run.
@@ -57,8 +59,11 @@ def concatenated(frames: DataFrame, group: str, part: str, step: str) -> DataFra
 
 def id_runs(ids: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     """(src_start, src_end, dst_start, dst_end) of each run of consecutive sorted ids, per group."""
-    w = W.partitionBy(*by).orderBy(column)
-    held = ids.withColumn("_n", F.row_number().over(w) - 1).withColumn("_g", F.col(column) - F.col("_n"))
+    if by:
+        held = ids.withColumn("_n", F.row_number().over(W.partitionBy(*by).orderBy(column)) - 1)
+    else:  # places in the whole order, without one task that sorts all ids
+        held = global_rank(ids, [F.col(column)], "_n").withColumn("_n", F.col("_n") - 1)
+    held = held.withColumn("_g", F.col(column) - F.col("_n"))
     runs = held.groupBy(*by, "_g").agg(F.min(column).alias("src_start"), (F.max(column) + 1).alias("src_end"), F.min("_n").cast("long").alias("dst_start"), (F.max("_n") + 1).cast("long").alias("dst_end"))
     return runs.drop("_g")
 
