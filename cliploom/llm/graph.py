@@ -2,14 +2,40 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cliploom.llm._util import Workspace
 
 
+def _marked(ws: Workspace, edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """edges written, with their number and a hash of them, observed while writing."""
+    seen = Observation()
+    kept = ws.save(edges.observe(seen, F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")))
+    return kept, (seen.get["n"], seen.get["x"])
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each batch's links as links to its components' smallest members: the same components, fewer and shorter paths."""
+    for b in batches:
+        root: dict[int, int] = {}
+        for u, v in zip(b.column("u").to_pylist(), b.column("v").to_pylist(), strict=True):
+            while (x := root.setdefault(u, u)) != u:
+                root[u] = u = root[x]
+            while (x := root.setdefault(v, v)) != v:
+                root[v] = v = root[x]
+            if u != v:
+                root[max(u, v)] = min(u, v)
+        for u in sorted(root):  # smaller ones first, so that one step reaches the root
+            root[u] = root[root[u]]
+        rows = [(u, v) for u, v in root.items() if u != v]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)], names=["u", "v"])
+
+
 def components(ws: Workspace, links: DataFrame) -> DataFrame:
     """(id, component) for every id in links(a, b); component is the smallest id reachable.
 
@@ -17,26 +43,20 @@ def components(ws: Workspace, links: DataFrame) -> DataFrame:
     diameter; nothing is gathered on the driver but two numbers a round. Links with a null end are ignored,
     repeated and self links are harmless, no links give an empty table.
     """
-    edges = ws.save(
-        links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .filter("u <> v and a is not null and b is not null")
-        .distinct()
-    )
-    before = None
-    while True:
+    first = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v and a is not null and b is not null")
+    edges, mark = _marked(ws, first.mapInArrow(_contract, "u long, v long").distinct())
+    while mark[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         held = large.join(low, "u")
         small = held.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        after_df = ws.save(small.distinct())
-        mark = after_df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        ws.drop(edges)
-        edges = after_df
-        if tuple(mark) == before:
+        before, (after, now) = edges, _marked(ws, small.distinct())
+        ws.drop(before)
+        edges, same, mark = after, now == mark, now
+        if same:
             break
-        before = tuple(mark)
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     )
@@ -49,6 +69,9 @@ def _resolve(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     compared if it is in the largest component of those not yet compared, so like rows cost one pass, not all pairs.
     """
     m, size = len(sets), np.array([len(x) for x in sets], np.int64)
+    if m == 2:
+        both = len(np.intersect1d(*sets, assume_unique=True))
+        return [(0, 1)] if both and 100 * both >= percent * (size.sum() - both) else []
     col = np.unique(np.concatenate(sets), return_inverse=True)[1]
     row = np.repeat(np.arange(m), size)
     begin = np.concatenate([[0], np.cumsum(size)])
@@ -79,16 +102,23 @@ def _resolve(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return links
 
 
-def _resolve_bucket(percent: int):
+def hashes(blobs: list[bytes]) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in blobs]
+
+
+def _resolve_bucket(percent: int, unpack: Callable[[list[bytes]], list[np.ndarray]]):
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("cluster", "ascending"), ("i", "ascending"), ("j", "ascending"), ("id", "ascending")])
         key = np.stack([table.column(c).to_numpy() for c in ("cluster", "i", "j")])
         ids = table.column("id").to_numpy()
         cut = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)]))
         a, b = [], []
-        for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(ids)], strict=True):
-            sets = [np.frombuffer(x, np.uint64) for x in table.column("tokens").slice(s, e - s).to_pylist()]
-            for x, y in _resolve(sets, percent):
+        begin, ends, many = 0, [*cut[1:].tolist(), len(ids)], table.column("tokens").to_pylist()
+        for k, (s, e) in enumerate(zip(cut.tolist(), ends, strict=True)):
+            if s >= begin:  # unpack whole clusters, about a thousand rows at a time
+                done = max(e, next((x for x in ends[k:] if x >= s + 1000), ends[-1]))
+                held, at, begin = unpack(many[s:done]), s, done
+            for x, y in _resolve(held[s - at : e - at], percent):
                 a.append(int(ids[s + x]))
                 b.append(int(ids[s + y]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -96,12 +126,12 @@ def _resolve_bucket(percent: int):
     return run
 
 
-def similar(ws: Workspace, postings: DataFrame, items: DataFrame, percent: int, units: int, block: int = 1_000_000) -> DataFrame:
+def similar(ws: Workspace, postings: DataFrame, items: DataFrame, percent: int, units: int, unpack: Callable[[list[bytes]], list[np.ndarray]] = hashes, block: int = 8_000_000) -> DataFrame:
     """(id, component) of the links among ids that share a posting; ids without a link aren't returned.
 
-    postings(sig, id): ids with a common sig are candidates. items(id, tokens): each id's distinct tokens, 8
-    bytes each, sorted. Ids link when 100 * |intersection| >= percent * |union|. The candidates' connected
-    clusters are compared inside workers; a cluster of more than `block` tokens is cut into blocks by hash, and
+    postings(sig, id): ids with a common sig are candidates. items(id, tokens): what unpack makes each id's sorted
+    distinct tokens from (8 bytes a token, if it isn't given). Ids link when 100 * |intersection| >= percent * |union|. The candidates' connected
+    clusters are compared inside workers; a cluster of more than `block` bytes is cut into blocks by hash, and
     every two blocks meet in a worker, so the rows in a worker are bounded and no pair is left out.
     """
     marks = postings.groupBy("sig").agg(
@@ -110,11 +140,13 @@ def similar(ws: Workspace, postings: DataFrame, items: DataFrame, percent: int,
     once = marks.filter("n > 1").groupBy("n", "x", "y").agg(F.min("sig").alias("sig"), F.first("lead").alias("lead"))  # one posting of those with equal members
     clusters = components(ws, postings.join(once.select("sig", "lead"), "sig").select(F.col("id").alias("a"), F.col("lead").alias("b")))
     rows = ws.save(items.hint("merge").join(clusters.withColumnRenamed("component", "cluster"), "id").select("id", "cluster", "tokens"))
-    blocks = rows.groupBy("cluster").agg(F.ceil(F.sum(F.octet_length("tokens")) / (8 * block)).alias("blocks"))
+    blocks = rows.groupBy("cluster").agg(F.ceil(F.sum(F.octet_length("tokens")) / block).alias("blocks"))
     placed = rows.join(blocks, "cluster").withColumn("own", F.pmod(F.xxhash64("id"), "blocks"))
     other = F.when(F.col("blocks") < 2, F.array(F.lit(0).cast("long"))).otherwise(F.filter(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda x: x != F.col("own")))
     placed = placed.withColumn("other", F.explode(other))
     placed = placed.select("id", "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "tokens")
     placed = placed.withColumn("bucket", F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(units)))
-    links = ws.save(placed.groupBy("bucket").applyInArrow(_resolve_bucket(percent), "a long, b long"))
-    return ws.save(components(ws, links))
+    links = ws.save(placed.groupBy("bucket").applyInArrow(_resolve_bucket(percent, unpack), "a long, b long"))
+    found = ws.save(components(ws, links))
+    ws.drop(rows, links)
+    return found

@@ -9,8 +9,8 @@ found by distributed union-find, and of each component the first line by documen
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,9 @@ _ODD = [np.uint64(int(x) | 1) for x in mix(np.arange(2000, 2064, dtype=np.uint64
 
 
 def normal(line: str) -> bytes:
-    return b" ".join(line.encode().lower().split())
+    raw = line.encode().lower().strip(b" \t\n\x0b\x0c\r")
+    plain = b"  " not in raw and len(raw.translate(None, b"\t\n\x0b\x0c\r")) == len(raw)
+    return raw if plain else b" ".join(raw.split())
 
 
 def _hash(lines: list[bytes]) -> list[int]:
@@ -34,58 +36,73 @@ def _hash(lines: list[bytes]) -> list[int]:
     return [xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in lines]
 
 
+_CODE = mix(np.arange(1 << 16, dtype=np.uint64))
+
+
 def shingles(lines: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(line index, hash) of every k-character string of the lines (with repeats), lines in order."""
-    size = np.array([len(x.decode("utf-8", "replace")) for x in lines], np.int64)
-    text = b"".join(lines).decode("utf-8", "replace").encode("utf-32-le")
-    code = mix(np.frombuffer(text, np.uint32).astype(np.uint64))
-    h, at, left, out = code, 0, k, None
-    length = 1
-    while left:  # the string as parts of power-of-two length
+    """Hashes of every k-character string of the lines (with repeats), lines in order, and each line's number of them."""
+    texts = [x.decode("utf-8", "replace") for x in lines]
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    code = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    h = _CODE[code & np.uint32(0xFFFF)]
+    if len(code) and code.max() > 0xFFFF:
+        h = np.where(code > 0xFFFF, mix(code.astype(np.uint64)), h)
+    many = max(0, len(code) - k + 1)
+    at, left, out, length = 0, k, None, 1
+    while left:  # the string as parts of power-of-two length; one multiplication and addition each
         if left & 1:
-            part = np.concatenate([h[at:], np.zeros(at, np.uint64)])
-            out = part if out is None else mix(out * _ODD[length % 31] + part)
+            part = h[at : at + many]
+            out = part if out is None else out * _ODD[length % 31] + part
             at += length
         left >>= 1
         if left:
-            nxt = h * _ODD[32 + length.bit_length()]
-            nxt[:-length] += h[length:]
-            h = mix(nxt)
+            h = h[: max(0, len(h) - length)] * _ODD[32 + length.bit_length()] + h[length:]
             length *= 2
-    ends = np.cumsum(size)
-    line = np.repeat(np.arange(len(lines)), size)
-    whole = np.arange(len(code)) + k <= ends[line] if len(code) else np.empty(0, bool)
+    n = np.maximum(size - k + 1, 0)
+    first = np.cumsum(size) - size
+    h = mix(out[np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)])
     short = np.flatnonzero((size < k) & (size > 0))
-    extra = np.array([x & 0xFFFFFFFFFFFFFFFF for x in _hash([lines[i] for i in short])], np.uint64)
-    line, h = np.concatenate([line[whole], short]), np.concatenate([out[whole] if len(code) else code, mix(extra)])
-    order = np.argsort(line, kind="stable")
-    return line[order], h[order]
-
-
-def minima(line: np.ndarray, h: np.ndarray, count: int, perms: int) -> np.ndarray:
-    """The least value of each line under `perms` permutations: array (perms, count) of 32 bits."""
-    out = np.full((perms, count), 0xFFFFFFFF, np.uint32)
-    if not len(h):
-        return out
-    start = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
-    here = line[start]
-    low, high = (h & np.uint64(0xFFFFFFFF)).astype(np.uint32), (h >> np.uint64(32)).astype(np.uint32)
-    step = 1 << 16  # shingles at a time, to stay in cache
-    marks = [0, *start[np.searchsorted(start, np.arange(step, len(h), step))[: len(range(step, len(h), step))] % len(start)].tolist(), len(h)]
-    marks = sorted({m for m in marks})
-    for a, b in zip(marks, marks[1:], strict=False):
-        s = np.searchsorted(start, a), np.searchsorted(start, b)
-        cut, x, y = start[s[0] : s[1]] - a, low[a:b], high[a:b]
+    if len(short):
+        extra = mix(np.array([x & 0xFFFFFFFFFFFFFFFF for x in _hash([lines[i] for i in short])], np.uint64))
+        h = np.insert(h, (np.cumsum(n) - n)[short], extra)
+        n[short] = 1
+    return h, n
+
+
+def sets(lines: list[bytes], k: int) -> list[np.ndarray]:
+    """Each line's distinct shingle hashes, sorted."""
+    h, n = shingles(lines, k)
+    ends = np.cumsum(n)
+    line = np.repeat(np.arange(len(n)), n)
+    order = np.lexsort((h, line))
+    h = h[order]
+    new = np.concatenate([[True], (h[1:] != h[:-1]) | (line[1:] != line[:-1])]) if len(h) else np.empty(0, bool)
+    h, kept = h[new], np.concatenate([[0], np.cumsum(new)])
+    cut = kept[np.concatenate([[0], ends])].tolist()
+    return [h[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+
+
+def minima(h: np.ndarray, n: np.ndarray, perms: int) -> np.ndarray:
+    """The least value of each line under `perms` permutations (odd multiples of 32-bit hashes): (perms, lines).
+
+    n: each line's number of hashes, at least one.
+    """
+    h = (h >> np.uint64(32)).astype(np.uint32)
+    odd = [np.uint32(int(x) >> 32 | 1) for x in _ODD]
+    out = np.empty((perms, len(n)), np.uint32)
+    ends = np.concatenate([[0], np.cumsum(n)])
+    marks = np.unique(np.concatenate([np.searchsorted(ends[:-1], np.arange(0, len(h), 1 << 16)), [len(n)]]))  # lines at a time, to stay in cache
+    for a, b in zip(marks[:-1].tolist(), marks[1:].tolist(), strict=True):
+        cut, x = ends[a:b] - ends[a], h[ends[a] : ends[b]]
+        v = np.empty_like(x)
         for p in range(perms):
-            v = x * np.uint32(int(_ODD[p % 64]) & 0xFFFFFFFF) + y * np.uint32((int(_ODD[p % 64]) >> 32) | 1)
-            v ^= v >> np.uint32(15)
-            v *= np.uint32(0x2C1B3C6D + 2 * p)
-            out[p, here[s[0] : s[1]]] = np.minimum.reduceat(v, cut)
+            np.multiply(x, odd[p], out=v)
+            out[p, a:b] = np.minimum.reduceat(v, cut)
     return out
 
 
 def _occurrences(k: int, bands: int, rows: int):
-    """(line hash, id, th, line number, band hashes) of each line that isn't blank; bands once a slice."""
+    """(line hash, id, th, line number, band hashes) of each line that isn't blank; band hashes once a slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in text_slices(batches):
@@ -96,89 +113,65 @@ def _occurrences(k: int, bands: int, rows: int):
                     out.append((lh, i, th, no, fresh.setdefault(lh, (len(fresh), x))[0]))
             if not out:
                 continue
-            line, h = shingles([x for _, x in fresh.values()], k)
-            low = minima(line, h, len(fresh), bands * rows).astype(np.uint64)
-            sig = np.empty((len(fresh), bands), np.uint64)
+            low = minima(*shingles([x for _, x in fresh.values()], k), bands * rows).astype(np.uint64)
+            lh, i, th, no, which = (np.array(c, np.int64) for c in zip(*out, strict=True))
+            first = np.zeros(len(which), bool)
+            first[np.unique(which, return_index=True)[1]] = True
+            columns = [pa.array(x) for x in (lh, i, th, no)]
             for b in range(bands):
                 v = np.full(len(fresh), b + 1, np.uint64)
                 for r in range(rows):
                     v = mix(v ^ low[b * rows + r])
-                sig[:, b] = v
-            seen: set[int] = set()
-            blobs = [None if j in seen else seen.add(j) or sig[j].tobytes() for *_, j in out]
-            lh, i, th, no, _ = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in (lh, i, th, no)), pa.array(blobs, pa.binary())], names=["lh", "id", "th", "no", "tokens"])
-
-    return run
-
-
-def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        tokens = np.frombuffer(b"".join(b.column("tokens").to_pylist()), np.int64)
-        each = [len(x) // 8 for x in b.column("tokens").to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(np.repeat(b.column("id").to_numpy(), each))], names=["sig", "id"])
-
-
-def _sets(k: int):
-    """Distinct sorted shingle hashes of the wanted lines of each document."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in text_slices(batches):
-            ids, lines = [], []
-            for text, want in zip(s.column("text").to_pylist(), s.column("want").to_pylist(), strict=True):
-                split = text.split("\n")
-                for w in want:
-                    ids.append(w["lh"])
-                    lines.append(normal(split[w["no"]]))
-            if not ids:
-                continue
-            line, h = shingles(lines, k)
-            order = np.lexsort((h, line))
-            line, h = line[order], h[order]
-            first = np.concatenate([[True], (h[1:] != h[:-1]) | (line[1:] != line[:-1])])
-            line, h = line[first], h[first]
-            cut = np.searchsorted(line, np.arange(len(ids) + 1))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([h[a:b].tobytes() for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)], pa.binary())], names=["id", "tokens"])
+                columns.append(pa.array(v.view(np.int64)[which], mask=~first))
+            yield pa.RecordBatch.from_arrays(columns, names=["lh", "id", "th", "no", *(f"b{b}" for b in range(bands))])
 
     return run
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The wanted lines of each document, normalised."""
     for s in text_slices(batches):
-        out = []
-        for text, drop in zip(s.column("text").to_pylist(), s.column("gone").to_pylist(), strict=True):
-            lines, gone = (text or "").split("\n"), set(drop or ())
-            kept = "\n".join(x for no, x in enumerate(lines) if no not in gone) if gone else text
-            out.append((len(lines) if text else 0, len(gone), hashlib.sha256((kept or "").encode()).hexdigest(), kept if gone else None))
-        n, gone, sha, kept = zip(*out, strict=True)
-        yield pa.RecordBatch.from_arrays([s.column("id"), s.column("th"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha), pa.array(kept, pa.string())], names=["id", "th", "n_lines", "n_removed", "kept_sha256", "kept"])
+        ids, lines = [], []
+        for text, want in zip(s.column("text").to_pylist(), s.column("want").to_pylist(), strict=True):
+            split = text.split("\n")
+            ids += [w["lh"] for w in want]
+            lines += [normal(split[w["no"]]) for w in want]
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lines, pa.binary())], names=["id", "tokens"])
 
 
 def removed(ws: Workspace, base: DataFrame, percent: int = 80, shingle: int = 10, bands: int = 10, rows: int = 4) -> DataFrame:
     """(id, th, gone array of line numbers) of the rows base(id, th, text) that lose lines."""
     spark = base.sparkSession
     units = work_units(base)
-    occ = ws.save(base.mapInArrow(_occurrences(shingle, bands, rows), "lh long, id long, th long, no long, tokens binary"))
-    first = occ.filter("tokens is not null").groupBy("lh").agg(F.min(F.struct("id", "th", "no", "tokens")).alias("o"))
-    first = ws.save(first.select(F.col("lh").alias("id"), F.col("o.id").alias("doc"), F.col("o.th").alias("th"), F.col("o.no").alias("no"), F.col("o.tokens").alias("tokens")))
+    band = [f"b{i}" for i in range(bands)]
+    occ = ws.save(base.mapInArrow(_occurrences(shingle, bands, rows), "lh long, id long, th long, no long, " + ", ".join(f"{b} long" for b in band)))
+    lines = ws.save(occ.groupBy("lh").agg(F.count("*").alias("n"), F.min("id").alias("id0"), *[F.max(b).alias(b) for b in band]))
     free_shuffles(spark)
-    live = tally(first.select("id", "tokens"), units).filter("shared > 0").select("id")
-    live = ws.save(first.hint("merge").join(live, "id", "left_semi"))
-    ws.drop(first)
+    bands_of, occ = occ, ws.save(occ.select("lh", "id", "th", "no"))
+    ws.drop(bands_of)
+    one = lines.select(F.col("lh").alias("id"), *band)
+    near = tally(one, units).filter("shared > 0").select("id")
+    near = ws.save(one.join(near.hint("shuffle_hash"), "id", "left_semi"))
+    bands_of, lines = lines, ws.save(lines.select("lh", "n", "id0"))
+    ws.drop(bands_of)
     free_shuffles(spark)
-    postings = live.select("id", "tokens").mapInArrow(_explode, "sig long, id long")
-    want = live.groupBy(F.col("doc").alias("id"), "th").agg(F.collect_list(F.struct(F.col("id").alias("lh"), "no")).alias("want"))
-    items = base.hint("merge").join(want, ["id", "th"]).select("text", "want").mapInArrow(_sets(shingle), "id long, tokens binary").dropDuplicates(["id"])
-    items = ws.save(items)
+    postings = near.select(F.explode(F.array(*band)).alias("sig"), "id")
+    spot = occ.join(near.select(F.col("id").alias("lh")).hint("shuffle_hash"), "lh", "left_semi").groupBy("lh").agg(F.min(F.struct("id", "th", "no")).alias("o"))
+    want = spot.groupBy(F.col("o.id").alias("id"), F.col("o.th").alias("th")).agg(F.collect_list(F.struct("lh", F.col("o.no").alias("no"))).alias("want"))
+    items = ws.save(base.join(want.hint("shuffle_hash"), ["id", "th"]).select("text", "want").mapInArrow(_wanted, "id long, tokens binary"))
     free_shuffles(spark)
-    comp = graph.similar(ws, postings, items, percent, units)
-    ws.drop(items)
-    where = occ.select("lh", "id", "th", "no").hint("merge").join(comp.withColumnRenamed("id", "lh"), "lh", "left").withColumn("c", F.coalesce("component", "lh")).drop("component", "lh")
-    where = ws.save(where)
-    keep = where.groupBy("c").agg(F.min(F.struct("id", "no", "th")).alias("k"), F.count("*").alias("n")).filter("n > 1").select("c", "k")
-    gone = where.join(keep, "c").filter("id <> k.id or th <> k.th or no <> k.no")
+    comp = graph.similar(ws, postings, items, percent, units, unpack=partial(sets, k=shingle)).select(F.col("id").alias("lh"), F.col("component").alias("c"))
+    ws.drop(items, near)
+    linked = lines.select("lh", "id0").join(comp.hint("shuffle_hash"), "lh").select("lh", "c", "id0")
+    equal = lines.filter("n > 1").select("lh", F.col("lh").alias("c"), "id0").join(comp, "lh", "left_anti")
+    groups = ws.save(linked.unionByName(equal))
+    placed = ws.save(occ.join(groups.select("lh", "c").hint("shuffle_hash"), "lh").drop("lh"))
+    ws.drop(occ, lines)
+    home = groups.groupBy("c").agg(F.min("id0").alias("id"))
+    keep = placed.join(home, ["c", "id"]).groupBy("c").agg(F.min(F.struct("id", "no", "th")).alias("k"))
+    gone = placed.join(keep, "c").filter("id <> k.id or th <> k.th or no <> k.no")
     gone = ws.save(gone.groupBy("id", "th").agg(F.collect_set(F.col("no").cast("int")).alias("gone")))
-    ws.drop(where, occ, live)
+    ws.drop(placed, groups)
     free_shuffles(spark)
     return gone
 
@@ -199,8 +192,15 @@ def dedup(docs: DataFrame, percent: int = 80, shingle: int = 10, bands: int = 10
     ws = Workspace(docs.sparkSession, "lines")
     base = plain(docs, id_col, text_col).select(*(c.alias(k) for k, c in _keys(id_col, text_col).items()), F.col(text_col).alias("text"))
     gone = removed(ws, base, percent, shingle, bands, rows)
-    out = base.hint("merge").join(gone, ["id", "th"], "left").mapInArrow(_cut, "id long, th long, n_lines long, n_removed long, kept_sha256 string, kept string")
-    return out.withColumn("doc_id", F.when(F.col("id") != -(2**63), F.col("id"))).select("doc_id", "th", "n_lines", "n_removed", "kept_sha256", "kept")
+    split = F.split(F.col("text"), "\n")
+    rest = F.when(F.col("gone").isNotNull(), F.array_join(F.filter(split, lambda x, i: ~F.array_contains("gone", i)), "\n"))
+    out = base.join(gone.hint("shuffle_hash"), ["id", "th"], "left").withColumn("kept", rest)
+    return out.select(
+        F.when(F.col("id") != -(2**63), F.col("id")).alias("doc_id"), "th",
+        F.when(F.coalesce("text", F.lit("")) == "", 0).otherwise(F.size(split)).cast("long").alias("n_lines"),
+        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed"),
+        F.sha2(F.coalesce("kept", "text", F.lit("")).cast("binary"), 256).alias("kept_sha256"), "kept",
+    )
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
@@ -209,7 +209,7 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how
     keys = _keys(id_col, text_col)
     gone = removed(ws, docs.select(*(c.alias(k) for k, c in keys.items()), F.col(text_col).alias("text")), **how)
     rows = docs.select(F.struct(*docs.columns).alias("row"), *(c.alias(k) for k, c in keys.items()))
-    rows = rows.hint("merge").join(gone, ["id", "th"], "left")
+    rows = rows.join(gone.hint("shuffle_hash"), ["id", "th"], "left")
     rest = F.filter(F.split(F.col(f"row.{text_col}"), "\n"), lambda x, i: ~F.array_contains("gone", i))
     rows = rows.withColumn("rest", F.when(F.col("gone").isNotNull(), F.array_join(rest, "\n")))
     rows = rows.filter(F.col("rest").isNull() | F.col("rest").rlike(r"[^\x20\x09-\x0D]"))

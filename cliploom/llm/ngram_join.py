@@ -57,12 +57,23 @@ FEWEST = 64
 CELLS = "bucket int, ids binary, sizes binary, home binary, counts binary, tokens binary, shared binary"
 
 
-def _cells(units: int, k: int, tokens: bool):
+def _column_sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    names = [c for c in batch.schema.names if c != "id"]
+    return np.repeat(np.arange(batch.num_rows), len(names)), np.stack([batch.column(c).to_numpy() for c in names], axis=1).reshape(-1).view(np.uint64)
+
+
+def _row_slices(batches: Iterator[pa.RecordBatch], rows: int = 50_000) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
+def _cells(units: int, k: int, kind: str):
     """Map side of pruning: this batch's tokens by hash range, once each; 6 bytes a token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_slices(batches, "tokens" if tokens else "text"):
-            d, h = _blob_sets(b) if tokens else _sets(b, k)
+        for b in text_slices(batches, kind) if kind else _row_slices(batches):
+            d, h = _column_sets(b) if not kind else _blob_sets(b) if kind == "tokens" else _sets(b, k)
             ids = b.column("id").to_numpy().astype(np.int64)
             n = np.bincount(d, minlength=len(ids)).astype(np.int64)
             value, inverse, count = np.unique(h, return_inverse=True, return_counts=True)
@@ -126,11 +137,11 @@ def _six(raw: bytes) -> np.ndarray:
 def tally(rows: DataFrame, units: int, k: int = 0) -> DataFrame:
     """(id, n, shared): size of each row's set, and how many of its tokens other rows hold too.
 
-    rows: (id, text), or (id, tokens) with 8 bytes a token. shared may be too large by hash collisions, never
+    rows: (id, text), (id, tokens) with 8 bytes a token, or id and bigint columns of one token each. shared may be too large by hash collisions, never
     too small. Several rows of one id count as rows that share.
     """
-    tokens, units = "tokens" in rows.columns, max(units, FEWEST)
-    cells = rows.mapInArrow(_cells(units, k, tokens), CELLS)
+    kind = next((c for c in ("tokens", "text") if c in rows.columns), "")
+    cells = rows.mapInArrow(_cells(max(units, FEWEST), k, kind), CELLS)
     parts = cells.groupBy("bucket").applyInArrow(_tally, "id long, n long, shared long")
     return parts.groupBy("id").agg(F.max("n").alias("n"), F.sum("shared").alias("shared"))
 
@@ -222,6 +233,8 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, classes: tuple = CLASSE
     free_shuffles(spark)
 
     comp = graph.similar(ws, postings, work.select("id", "tokens"), percent, units)
+    ws.drop(work, postings, members)
+    free_shuffles(spark)
     # A rep is the smallest id of its class, so the smallest rep of a component is the smallest id in it.
     found = member_of.join(comp.withColumnRenamed("id", "rep"), "rep", "left").groupBy("id").agg(F.min(F.coalesce("component", "rep")).alias("component"))
     return sizes.select("id", "n").join(found, "id", "left").select(
