@@ -13,6 +13,7 @@ import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -89,9 +90,15 @@ class WordIds:
         return table[at], np.concatenate([[0], last])[offsets]
 
 
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """A worker's encoder: words that it has met stay known in later tasks."""
+    return WordIds(path)
+
+
 def _pieces(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordIds(path)
+        encode = word_ids(path)
         for s in text_slices(batches):
             ids, offsets = encode(s.column("text"))
             out = []
