@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -151,6 +152,18 @@ def shingle_sets(words: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.nda
     return d, h
 
 
+@contextmanager
+def rows_at_a_time(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within, Spark hands Python workers batches of at most so many rows: for rows of several megabytes each."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let the JVM notice that earlier steps' shuffle files are no longer needed."""
     import gc
