@@ -80,6 +80,7 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shard += 1
     if held:
         yield out()
+    pa.default_memory_pool().release_unused()
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,7 +259,8 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2, b:
     spark = docs.sparkSession
     ws = Workspace(spark, "bm25")
     rows = plain(docs, id_col, text_col).toDF("id", "text").filter("id is not null")
-    index = ws.save(rows.mapInArrow(_build, "shard long, n long, words long, terms binary, df binary, payload binary"))
+    with rows_at_a_time(spark, 1000):
+        index = ws.save(rows.mapInArrow(_build, "shard long, n long, words long, terms binary, df binary, payload binary"))
     total = index.agg(F.sum("n"), F.sum("words"), F.count("*")).first()
     n, words, shards = total[0] or 0, total[1] or 0, total[2]
     average = max(words / n, 1e-9) if n else 1.0
@@ -267,7 +269,8 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2, b:
     asked = asked.mapInArrow(_query_terms, "query_id long, term long, qtf long").groupBy("query_id", "term").agg(F.sum("qtf").alias("qtf"))
     weighed = asked.join(df, "term").withColumn("idf", F.log1p((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5)))
     blocks = weighed.groupBy("query_id").agg(F.collect_list(F.struct("term", "qtf", "idf")).alias("x")).select("query_id", F.col("x.term").alias("t"), F.col("x.qtf").alias("qtf"), F.col("x.idf").alias("idf"))
-    blocks = ws.save(blocks.mapInArrow(_blocks, "payload binary"))
+    with rows_at_a_time(spark, 1000):
+        blocks = ws.save(blocks.mapInArrow(_blocks, "payload binary"))
     groups = max(1, -(-shards // HELD))
     own = F.pmod(F.shiftright("shard", 32) + F.col("shard").bitwiseAND(0xFFFF), F.lit(groups)).cast("int")
     placed = index.select(own.alias("g"), F.lit(0).alias("kind"), "payload")
