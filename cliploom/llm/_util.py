@@ -110,11 +110,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of each text's words, A-Z lower-cased, split at ASCII white space; row offsets (len + 1)."""
+def word_hashes(text: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of each text's words, A-Z lower-cased unless told, split at ASCII white space; row offsets (len + 1)."""
     import xxhash
 
-    words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(text, "")))
+    text = pc.fill_null(text, "")
+    words = pc.ascii_split_whitespace(pc.ascii_lower(text) if lower else text)
     flat, offsets = words.flatten(), words.offsets.to_numpy().astype(np.int64)
     offsets = offsets - offsets[0]
     keep = pc.greater(pc.binary_length(flat), 0)

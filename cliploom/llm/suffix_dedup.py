@@ -14,11 +14,15 @@ independent groups by anchor hash, without any string being cut:
    its common-prefix interval tree tests each interval for left-extension diversity and yields the maximal
    repeats with all occurrences.
 4. The occurrences' spans go back to every document of their classes, are merged, and are cut out.
+
+Passages counted in words go the same way: each word is coded by eight bytes, its hash, so n words are a string
+of 8 n bytes whatever the words' lengths and the white space between them.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,11 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cliploom.llm._util import Workspace, free_shuffles, mix, plain, text_slices, work_units
+from cliploom.llm._util import Workspace, free_shuffles, mix, plain, text_slices, word_hashes, work_units
 
 GRAM = 32
 #: Bytes of different regions about one anchor that are compared in one worker; more are cut into blocks by hash.
 GROUP = 8 << 20
+#: Bytes that code a word.
+CODE = 8
 _BYTE = mix(np.arange(256, dtype=np.uint64))
 _ODD = [np.uint64(int(x) | 1) for x in mix(np.arange(1000, 1064, dtype=np.uint64))]
 
@@ -63,6 +69,20 @@ def window_hash(b: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+def _bytes(col: pa.Array, words: bool) -> pa.Array:
+    """The texts as binary values; with `words`, the codes of their words."""
+    if not words:
+        return col.cast(pa.binary())
+    h, offsets = word_hashes(col, lower=False)
+    return pa.Array.from_buffers(pa.binary(), len(col), [None, pa.py_buffer((offsets * CODE).astype(np.int32)), pa.py_buffer(h.astype("<u8"))])
+
+
+def _worded(raw: bytes, spans) -> list[tuple[int, int]]:
+    """Spans of raw from those of its words' codes; bytes of a neighbour's code that agree by chance don't count."""
+    at = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+    return [(at[-(-s // CODE)][0], at[e // CODE - 1][1]) for s, e in _merged(spans)]
+
+
 def _buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a slice and its row offsets; null is empty."""
     texts = [t if t is not None else b"" for t in col.cast(pa.binary()).to_pylist()]
@@ -90,12 +110,12 @@ def regions(b: np.ndarray, offsets: np.ndarray, width: int, gram: int) -> tuple[
     return np.searchsorted(offsets, lo, side="right") - 1, h[anchor[cut]], lo, hi
 
 
-def _anchors(width: int, gram: int):
+def _anchors(width: int, gram: int, words: bool = False):
     import xxhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in text_slices(batches):
-            b, offsets = _buffers(s.column("text"))
+            b, offsets = _buffers(_bytes(s.column("text"), words))
             row, h, lo, hi = regions(b, offsets, width, gram)
             view = memoryview(b)
             rh = np.fromiter((xxhash.xxh3_64_intdigest(view[x:y]) for x, y in zip(lo.tolist(), hi.tolist(), strict=True)), np.uint64, len(lo))
@@ -105,13 +125,13 @@ def _anchors(width: int, gram: int):
     return run
 
 
-def _fetch(bins: int):
+def _fetch(bins: int, words: bool = False):
     """Region bytes of the representatives that a document holds, once for each pair of blocks that they are in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in text_slices(batches):
             out = []
-            for text, want in zip(s.column("text").cast(pa.binary()).to_pylist(), s.column("want").to_pylist(), strict=True):
+            for text, want in zip(_bytes(s.column("text"), words).to_pylist(), s.column("want").to_pylist(), strict=True):
                 for x in want:
                     own, region = x["rh"] % x["blocks"], text[x["lo"] : x["hi"]]
                     for other in [0] if x["blocks"] == 1 else [o for o in range(x["blocks"]) if o != own]:
@@ -241,17 +261,20 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([s.column("id"), s.column("th"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(count, pa.int64()), pa.array(sha), pa.array(rest, pa.string())], names=["id", "th", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-def spans(ws: Workspace, rows: DataFrame, width: int, gram: int = GRAM) -> DataFrame:
-    """(id, th, spans array<struct<s, e>>) of the rows (id, th, text) that hold repeated strings."""
+def spans(ws: Workspace, rows: DataFrame, width: int, gram: int = GRAM, words: bool = False) -> DataFrame:
+    """(id, th, spans array<struct<s, e>>) of the rows (id, th, text) that hold repeated strings.
+
+    With `words`, width and spans are in bytes of the words' codes.
+    """
     spark = rows.sparkSession
     units = work_units(rows)
-    anchors = ws.save(rows.mapInArrow(_anchors(width, gram), "h long, rh long, id long, th long, lo long, hi long"))
+    anchors = ws.save(rows.mapInArrow(_anchors(width, gram, words), "h long, rh long, id long, th long, lo long, hi long"))
     classes = anchors.groupBy("h", "rh").agg(F.count("*").alias("n"), F.min(F.struct("id", "th", "lo", "hi")).alias("rep"))
     classes = ws.save(classes)
     often = classes.groupBy("h").agg(F.sum("n").alias("t"), F.ceil(F.sum(F.col("rep.hi") - F.col("rep.lo")) / GROUP).alias("blocks")).filter("t > 1").select("h", "blocks")
     want = classes.join(often, "h").groupBy(F.col("rep.id").alias("id"), F.col("rep.th").alias("th"))
     want = want.agg(F.collect_list(F.struct("h", "rh", "n", "blocks", F.col("rep.lo").alias("lo"), F.col("rep.hi").alias("hi"))).alias("want"))
-    fetched = rows.join(want, ["id", "th"]).select("text", "want").mapInArrow(_fetch(units * 4), "bin long, h long, i long, j long, rh long, n long, region binary")
+    fetched = rows.join(want, ["id", "th"]).select("text", "want").mapInArrow(_fetch(units * 4, words), "bin long, h long, i long, j long, rh long, n long, region binary")
     found = ws.save(fetched.groupBy("bin").applyInArrow(_repeats(width), "h long, rh long, s long, e long"))
     ws.drop(classes)
     free_shuffles(spark)
@@ -283,29 +306,36 @@ def _keys(id_col: str, text_col: str) -> dict:
     return {"id": F.coalesce(F.col(id_col), F.lit(-(2**63))), "th": F.xxhash64(id_col, text_col)}
 
 
-def clean(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def clean(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text", words: int | None = None) -> DataFrame:
     """docs with the repeated strings taken out of their texts; a document that thereby has no word left goes.
 
-    Of a character that a removed span cuts, the remaining bytes go too.
+    With `words`, every passage of so many words that stands more than once goes too, however short in bytes; words
+    are what ASCII white space separates. Both are judged on the input. Of a character that a removed span cuts, the
+    remaining bytes go too.
     """
     ws = Workspace(docs.sparkSession, "suffix")
     keys = _keys(id_col, text_col)
-    found = spans(ws, docs.select(*(c.alias(k) for k, c in keys.items()), F.col(text_col).alias("text")), width)
+    held = docs.select(*(c.alias(k) for k, c in keys.items()), F.col(text_col).alias("text"))
     rows = docs.select(F.struct(*docs.columns).alias("row"), *(c.alias(k) for k, c in keys.items()))
-    rows = rows.hint("merge").join(found, ["id", "th"], "left").select(*[F.col(f"row.`{c}`") for c in docs.columns], F.col("spans").alias("_spans"))
+    rows = rows.hint("merge").join(spans(ws, held, width), ["id", "th"], "left")
+    if words:
+        rows = rows.hint("merge").join(spans(ws, held, words * CODE, words=True).withColumnRenamed("spans", "worded"), ["id", "th"], "left")
+    worded = F.col("worded") if words else F.lit(None).cast("array<struct<s: bigint, e: bigint>>")
+    rows = rows.select(*[F.col(f"row.`{c}`") for c in docs.columns], F.col("spans").alias("_spans"), worded.alias("_worded"))
     names, at = docs.columns, docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in text_slices(batches, text_col):
             texts, keep = s.column(at).to_pylist(), []
-            for i, spans in enumerate(s.column("_spans").to_pylist()):
-                if spans:
+            for i, (spans, worded) in enumerate(zip(s.column("_spans").to_pylist(), s.column("_worded").to_pylist(), strict=True)):
+                if spans or worded:
                     raw, last, parts = texts[i].encode(), 0, []
-                    for a, b in _merged((x["s"], x["e"]) for x in spans):
+                    found = [(x["s"], x["e"]) for x in spans or ()] + _worded(raw, [(x["s"], x["e"]) for x in worded or ()])
+                    for a, b in _merged(found):
                         parts.append(raw[last:a])
                         last = b
                     texts[i] = (b"".join(parts) + raw[last:]).decode("utf-8", "ignore")
-                keep.append(not spans or bool(texts[i].strip()))
+                keep.append(not (spans or worded) or bool(texts[i].strip()))
             columns = [pa.array(texts, pa.string()) if i == at else s.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep, pa.bool_()))
 

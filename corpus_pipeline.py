@@ -33,8 +33,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 400 bytes that stand more than once go, all occurrences; documents left without words go."""
-    return _counted(suffix_dedup.clean(docs, width=400))
+    """Passages of over 50 words or of 400 bytes that stand more than once go, all occurrences; documents left without words go."""
+    return _counted(suffix_dedup.clean(docs, width=400, words=51))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
