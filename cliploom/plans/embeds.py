@@ -81,15 +81,16 @@ RATIOS = (0.01, 0.02, 0.04)
 @plan(f"{FPS}, n AS (SELECT count(*) AS n FROM embeddings), p AS (SELECT DISTINCT pick AS vec_id, CAST(it AS BIGINT) AS rank FROM g) SELECT r AS ratio, vec_id, rank FROM p, n, (SELECT unnest([CAST(0.01 AS DOUBLE), 0.02, 0.04]) AS r) WHERE rank < least(greatest(round_even(n * r, 0), 1), 20)")
 def nested_subsets(v: Views) -> DataFrame:
     sizes = select.subset_sizes(v.embed.count(), RATIOS)
-    limits = v.spark.createDataFrame([(r, min(n, 20)) for r, n in sizes.items()], "ratio double, n long")
-    return _picks(v, 20).join(F.broadcast(limits), F.col("rank") < F.col("n")).select("ratio", "vec_id", "rank")
+    limits = v.spark.createDataFrame(list(sizes.items()), "ratio double, n long")
+    return _picks(v, max(sizes.values())).join(F.broadcast(limits), F.col("rank") < F.col("n")).select("ratio", "vec_id", "rank")
 
 
 @plan(f"{FPS} SELECT count(*) AS num_motions, CAST(sum(64) AS BIGINT) AS total_frames, round(sum(64) * 0.02 / 3600, 9) AS total_hours FROM embeddings WHERE vec_id IN (SELECT pick FROM g)")
 def subset_manifest(v: Views) -> DataFrame:
     from cliploom.operators.catalog import manifest_summary
 
-    kept = v.embed.join(_picks(v, 20), "vec_id", "left_semi").select("vec_id", F.lit(64).cast("long").alias("frames"))
+    most = max(select.subset_sizes(v.embed.count(), RATIOS).values())
+    kept = v.embed.join(_picks(v, most), "vec_id", "left_semi").select("vec_id", F.lit(64).cast("long").alias("frames"))
     return manifest_summary(kept, "frames", 0.02).withColumn("total_hours", r9("total_hours"))
 
 
