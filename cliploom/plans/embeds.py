@@ -12,7 +12,7 @@ from cliploom.plans.views import Views, r9
 
 @plan("SELECT vec_id, CAST(step AS INTEGER) AS pos, round(v, 9) + 0.0 AS value FROM v_elements WHERE vec_id % 10 = 0")
 def embeddings_scan(v: Views) -> DataFrame:
-    return v.elements.filter("vec_id % 10 = 0").select("vec_id", F.col("step").cast("int").alias("pos"), r9("v").alias("value"))
+    return v.elements.select("vec_id", F.col("step").cast("int").alias("pos"), r9("v").alias("value"))
 
 
 @plan("SELECT vec_id, round(rank_norm, 9) AS rank_norm FROM v_ranked")
