@@ -127,7 +127,7 @@ RAW = ("j0", "j1", "u0", "u1", *POS, *Q, "lx", "ly", "lz", "wx", "wy", "wz")
 def frame_features(v: Views) -> DataFrame:
     rows = kinematics.with_angular_velocity(moving(v), Q, FPS)
     rows = kinematics.local_root_velocity(rows, ("vx", "vy", "vz"), Q, ("lx", "ly", "lz"))
-    out = rows.filter("motion_id % 5 = 0").select("motion_id", "step", F.posexplode(F.array(*RAW)).alias("pos", "value"))
+    out = rows.select("motion_id", "step", F.posexplode(F.array(*RAW)).alias("pos", "value"))
     return out.withColumn("value", r9("value", 5))
 
 
