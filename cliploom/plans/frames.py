@@ -105,7 +105,7 @@ REQUESTS = "SELECT o_orderkey AS env, o_custkey % 150 AS motion_id, o_orderkey %
 
 
 def _requests(v: Views) -> DataFrame:
-    return v.table("orders").filter("o_orderkey % 10 = 0").select(F.col("o_orderkey").alias("env"), (F.col("o_custkey") % 150).alias("motion_id"), (F.col("o_orderkey") % 70).alias("start_t"))
+    return v.table("orders").select(F.col("o_orderkey").alias("env"), (F.col("o_custkey") % 150).alias("motion_id"), (F.col("o_orderkey") % 70).alias("start_t"))
 
 
 @plan(f"SELECT q.env, q.motion_id, CAST(o.o AS INTEGER) AS \"offset\", f.step, f.x FROM ({REQUESTS}) q CROSS JOIN (SELECT unnest([0, 1, 2, 3]) AS o) o JOIN v_lengths l USING (motion_id) JOIN v_frames f ON f.motion_id = q.motion_id AND f.step = greatest(0, least(q.start_t + o.o, l.length - 1))")
