@@ -10,7 +10,7 @@ from cliploom.plans.registry import plan
 from cliploom.plans.views import Views, r9
 
 
-@plan("SELECT vec_id, CAST(step AS INTEGER) AS pos, round(v, 9) + 0.0 AS value FROM v_elements WHERE vec_id % 10 = 0")
+@plan("SELECT vec_id, CAST(step AS INTEGER) AS pos, round(v, 9) + 0.0 AS value FROM v_elements")
 def embeddings_scan(v: Views) -> DataFrame:
     return v.elements.select("vec_id", F.col("step").cast("int").alias("pos"), r9("v").alias("value"))
 
@@ -60,32 +60,33 @@ def _picks(v: Views, n: int) -> DataFrame:
     return select.weighted_fps(rows, "embedding", "c", "vec_id", n)
 
 
-FPS = f"""WITH RECURSIVE e AS (SELECT r.vec_id, round(r.rank_norm, 9) AS c, CAST(b.embedding AS DOUBLE[64]) AS v FROM v_ranked r JOIN embeddings b USING (vec_id)),
+FPS = """WITH RECURSIVE many AS ({picks}), e AS (SELECT r.vec_id, round(r.rank_norm, 9) AS c, CAST(b.embedding AS DOUBLE[64]) AS v FROM v_ranked r JOIN embeddings b USING (vec_id)),
     s AS (SELECT vec_id AS first_id, v AS first_v FROM e ORDER BY c DESC, vec_id LIMIT 1),
     g(it, vec_id, near, chosen, pick, last) AS (
     SELECT 0, e.vec_id, array_distance(e.v, s.first_v), e.vec_id = s.first_id, s.first_id, s.first_v FROM e, s
     UNION ALL SELECT it + 1, vec_id, least(near, array_distance(v, new_v)), chosen OR vec_id = new_id, new_id, new_v FROM (
       SELECT it, vec_id, near, chosen, v, first(vec_id) OVER o AS new_id, first(v) OVER o AS new_v FROM (
-        SELECT g.it, g.vec_id, g.near, g.chosen, e.v, CASE WHEN g.chosen THEN -1.0 ELSE 0.6 * CASE WHEN max(g.near) OVER () > 1e-8 THEN g.near / max(g.near) OVER () ELSE g.near END + 0.4 * e.c END AS score FROM g JOIN e USING (vec_id) WHERE g.it < 19)
+        SELECT g.it, g.vec_id, g.near, g.chosen, e.v, CASE WHEN g.chosen THEN -1.0 ELSE 0.6 * CASE WHEN max(g.near) OVER () > 1e-8 THEN g.near / max(g.near) OVER () ELSE g.near END + 0.4 * e.c END AS score FROM g JOIN e USING (vec_id) WHERE g.it + 1 < (SELECT picks FROM many))
       WINDOW o AS (ORDER BY score DESC, vec_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)))"""
 
 
-@plan(f"{FPS} SELECT DISTINCT pick AS vec_id, CAST(it AS BIGINT) AS rank FROM g")
+@plan(f"{FPS.format(picks='SELECT 20 AS picks')} SELECT DISTINCT pick AS vec_id, CAST(it AS BIGINT) AS rank FROM g")
 def weighted_fps(v: Views) -> DataFrame:
     return _picks(v, 20)
 
 
 RATIOS = (0.01, 0.02, 0.04)
+LARGEST = "SELECT greatest(round_even(count(*) * CAST(0.04 AS DOUBLE), 0), 1) AS picks FROM embeddings"
 
 
-@plan(f"{FPS}, n AS (SELECT count(*) AS n FROM embeddings), p AS (SELECT DISTINCT pick AS vec_id, CAST(it AS BIGINT) AS rank FROM g) SELECT r AS ratio, vec_id, rank FROM p, n, (SELECT unnest([CAST(0.01 AS DOUBLE), 0.02, 0.04]) AS r) WHERE rank < least(greatest(round_even(n * r, 0), 1), 20)")
+@plan(f"{FPS.format(picks=LARGEST)}, n AS (SELECT count(*) AS n FROM embeddings), p AS (SELECT DISTINCT pick AS vec_id, CAST(it AS BIGINT) AS rank FROM g) SELECT r AS ratio, vec_id, rank FROM p, n, (SELECT unnest([CAST(0.01 AS DOUBLE), 0.02, 0.04]) AS r) WHERE rank < greatest(round_even(n * r, 0), 1)")
 def nested_subsets(v: Views) -> DataFrame:
     sizes = select.subset_sizes(v.embed.count(), RATIOS)
     limits = v.spark.createDataFrame(list(sizes.items()), "ratio double, n long")
     return _picks(v, max(sizes.values())).join(F.broadcast(limits), F.col("rank") < F.col("n")).select("ratio", "vec_id", "rank")
 
 
-@plan(f"{FPS} SELECT count(*) AS num_motions, CAST(sum(64) AS BIGINT) AS total_frames, round(sum(64) * 0.02 / 3600, 9) AS total_hours FROM embeddings WHERE vec_id IN (SELECT pick FROM g)")
+@plan(f"{FPS.format(picks=LARGEST)} SELECT count(*) AS num_motions, CAST(sum(64) AS BIGINT) AS total_frames, round(sum(64) * 0.02 / 3600, 9) AS total_hours FROM embeddings WHERE vec_id IN (SELECT pick FROM g)")
 def subset_manifest(v: Views) -> DataFrame:
     from cliploom.operators.catalog import manifest_summary
 

@@ -101,7 +101,7 @@ def frame_to_clip(v: Views) -> DataFrame:
     return serve.frame_to_clip(ids, v.index, "frame_id").select("frame_id", "hits", "motion_id", "step")
 
 
-REQUESTS = "SELECT o_orderkey AS env, o_custkey % 150 AS motion_id, o_orderkey % 70 AS start_t FROM orders WHERE o_orderkey % 10 = 0"
+REQUESTS = "SELECT o_orderkey AS env, o_custkey % 150 AS motion_id, o_orderkey % 70 AS start_t FROM orders"
 
 
 def _requests(v: Views) -> DataFrame:

@@ -122,7 +122,7 @@ RAW = ("j0", "j1", "u0", "u1", *POS, *Q, "lx", "ly", "lz", "wx", "wy", "wz")
 
 
 @plan(
-    f"SELECT motion_id, step, CAST(pos AS INTEGER) AS pos, round(value, 5) + 0.0 AS value FROM (SELECT l.motion_id, l.step, unnest(range(17)) AS pos, unnest([j0, j1, u0, u1, px, py, pz, qw, qx, qy, qz, lx, ly, lz, a.wx, a.wy, a.wz]) AS value FROM ({LOCAL}) l JOIN (SELECT motion_id, step, coalesce(x, lag(x) OVER w, 0.0) AS wx, coalesce(y, lag(y) OVER w, 0.0) AS wy, coalesce(z, lag(z) OVER w, 0.0) AS wz FROM ({SPEED}) {W_}) a USING (motion_id, step)) WHERE motion_id % 5 = 0"
+    f"SELECT motion_id, step, CAST(pos AS INTEGER) AS pos, round(value, 5) + 0.0 AS value FROM (SELECT l.motion_id, l.step, unnest(range(17)) AS pos, unnest([j0, j1, u0, u1, px, py, pz, qw, qx, qy, qz, lx, ly, lz, a.wx, a.wy, a.wz]) AS value FROM ({LOCAL}) l JOIN (SELECT motion_id, step, coalesce(x, lag(x) OVER w, 0.0) AS wx, coalesce(y, lag(y) OVER w, 0.0) AS wy, coalesce(z, lag(z) OVER w, 0.0) AS wz FROM ({SPEED}) {W_}) a USING (motion_id, step))"
 )
 def frame_features(v: Views) -> DataFrame:
     rows = kinematics.with_angular_velocity(moving(v), Q, FPS)
