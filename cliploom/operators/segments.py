@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from cliploom.operators.ranges import offsets, ranged
 from cliploom.operators.select import global_rank
 
 
@@ -68,20 +69,14 @@ def id_runs(ids: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     return runs.drop("_g")
 
 
-def clip_index(lengths: DataFrame, key: str = "motion_id", parts: int = 64) -> DataFrame:
+def clip_index(lengths: DataFrame, key: str = "motion_id") -> DataFrame:
     """(key, length, start, end): running offsets in key order.
 
-    Keys are cut into ranges first; a range's offset is a sum over the ranges' totals (`parts` rows), so the running
-    sum is per range and no task sees all clips.
+    A range of keys starts where the ranges before it end, so the running sum is per range and no task sees all clips.
     """
-    bounds = lengths.agg(F.min(key).alias("a"), F.max(key).alias("b"))
-    width = F.greatest(F.ceil((F.col("b") - F.col("a") + 1) / F.lit(parts)), F.lit(1))
-    ranged = lengths.join(F.broadcast(bounds)).withColumn("_r", F.floor((F.col(key) - F.col("a")) / width)).drop("a", "b")
-    totals = ranged.groupBy("_r").agg(F.sum("length").alias("_t"))
-    before = W.orderBy("_r").rowsBetween(W.unboundedPreceding, -1)
-    starts = totals.select("_r", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_at"))
-    running = F.sum("length").over(W.partitionBy("_r").orderBy(key).rowsBetween(W.unboundedPreceding, 0))
-    out = ranged.withColumn("_run", running).join(F.broadcast(starts), "_r").withColumn("end", F.col("_at") + F.col("_run"))
+    parts = ranged(lengths.select(key, "length"), [F.col(key)])
+    running = F.sum("length").over(W.partitionBy("_part").orderBy("_at").rowsBetween(W.unboundedPreceding, 0))
+    out = parts.withColumn("_run", running).join(F.broadcast(offsets(parts, F.sum("length"))), "_part").withColumn("end", F.col("_before") + F.col("_run"))
     return out.select(key, "length", (F.col("end") - F.col("length")).alias("start"), "end")
 
 

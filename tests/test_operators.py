@@ -197,6 +197,33 @@ def test_farthest_points(spark):
     assert select.subset_sizes(10382, [0.04, 0.08, 0.16, 0.32]) == {0.04: 415, 0.08: 831, 0.16: 1661, 0.32: 3322}
 
 
+@pytest.mark.parametrize("pool, alpha", [(1, 0.6), (5, 0.6), (5, 0.0), (5, 1.0), (2048, 0.6)])
+def test_farthest_points_in_rounds(spark, pool, alpha):
+    """Small pools need many rounds; the order is that of a plain loop over all rows, ties and repeated points included."""
+    rng = np.random.default_rng(3)
+    x, c = np.round(rng.normal(size=(90, 3)), 1), np.round(rng.random(90), 1)
+    x[40:50], c[40:50] = x[3], c[3]
+    order = [int(np.argmax(c))]
+    while len(order) < 30:
+        near = np.min([np.sqrt(((x - x[i]) ** 2).sum(axis=1)) for i in order], axis=0)
+        score = alpha * near / near.max() + (1 - alpha) * c
+        score[order] = -1
+        order.append(int(np.argmax(score)))
+    df = spark.createDataFrame([(f"n{i:02}", x[i].tolist(), float(c[i])) for i in range(90)], "id string, v array<double>, c double").repartition(3)
+    out = [r.id for r in select.weighted_fps(df, "v", "c", "id", 30, alpha, pool).orderBy("rank").collect()]
+    assert out == [f"n{i:02}" for i in order]
+
+
+def test_running_sums_over_ranges(spark):
+    rng = np.random.default_rng(2)
+    keys = sorted({int(k) for k in np.concatenate([rng.integers(0, 50, 40), rng.integers(10**9, 10**12, 200)])})
+    df = spark.createDataFrame([(k, k % 7 + 1) for k in keys], "motion_id long, length long").repartition(5)
+    out, at = {r.motion_id: (r.start, r.end) for r in segments.clip_index(df).collect()}, 0
+    for k in keys:
+        assert out[k] == (at, at := at + k % 7 + 1)
+    assert segments.clip_index(df.limit(0)).collect() == []
+
+
 def test_global_rank_with_ties(spark):
     rng = np.random.default_rng(0)
     rows = [(i, float(v)) for i, v in enumerate(rng.integers(0, 20, 500))]
