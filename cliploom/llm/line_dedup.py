@@ -14,7 +14,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cliploom.llm import graph
@@ -145,37 +145,41 @@ def removed(ws: Workspace, base: DataFrame, percent: int = 80, shingle: int = 10
     units = work_units(base)
     band = [f"b{i}" for i in range(bands)]
     occ = ws.save(base.mapInArrow(_occurrences(shingle, bands, rows), "lh long, id long, th long, no long, " + ", ".join(f"{b} long" for b in band)))
-    lines = ws.save(occ.groupBy("lh").agg(F.count("*").alias("n"), F.min("id").alias("id0"), *[F.max(b).alias(b) for b in band]))
+    # Summed up before rows move, so that a line that very many documents hold is a few rows of any task.
+    lines = ws.save(occ.groupBy("lh").agg(F.count("*").alias("n"), F.min(F.struct("id", "no", "th")).alias("first"), *[F.max(b).alias(b) for b in band]))
     free_shuffles(spark)
     bands_of, occ = occ, ws.save(occ.select("lh", "id", "th", "no"))
     ws.drop(bands_of)
-    one = lines.select(F.col("lh").alias("id"), *band)
-    near = tally(one, units).filter("shared > 0").select("id")
+    one = lines.select(F.col("lh").alias("id"), "first", *band)
+    near = tally(one.select("id", *band), units).filter("shared > 0").select("id")
     near = ws.save(one.join(near.hint("shuffle_hash"), "id", "left_semi"))
-    bands_of, lines = lines, ws.save(lines.select("lh", "n", "id0"))
+    bands_of, lines = lines, ws.save(lines.select("lh", "n", "first"))
     ws.drop(bands_of)
     free_shuffles(spark)
     postings = near.select(F.explode(F.array(*band)).alias("sig"), "id")
-    spot = occ.join(near.select(F.col("id").alias("lh")).hint("shuffle_hash"), "lh", "left_semi").groupBy("lh").agg(F.min(F.struct("id", "th", "no")).alias("o"))
-    want = spot.groupBy(F.col("o.id").alias("id"), F.col("o.th").alias("th")).agg(F.collect_list(F.struct("lh", F.col("o.no").alias("no"))).alias("want"))
+    want = near.groupBy("first.id", "first.th").agg(F.collect_list(F.struct(F.col("id").alias("lh"), F.col("first.no").alias("no"))).alias("want"))
     items = ws.save(base.join(want.hint("shuffle_hash"), ["id", "th"]).select("text", "want").mapInArrow(_wanted, "id long, tokens binary"))
     free_shuffles(spark)
     comp = graph.similar(ws, postings, items, percent, units, unpack=partial(sets, k=shingle)).select(F.col("id").alias("lh"), F.col("component").alias("c"))
     ws.drop(items, near)
-    linked = lines.select("lh", "id0").join(comp.hint("shuffle_hash"), "lh").select("lh", "c", "id0")
-    equal = lines.filter("n > 1").select("lh", F.col("lh").alias("c"), "id0").join(comp, "lh", "left_anti")
+    linked = lines.join(comp.hint("shuffle_hash"), "lh").select("lh", "c", "first")
+    equal = lines.filter("n > 1").join(comp, "lh", "left_anti").select("lh", F.col("lh").alias("c"), "first")
     groups = ws.save(linked.unionByName(equal))
-    placed = ws.save(occ.join(groups.select("lh", "c").hint("shuffle_hash"), "lh").drop("lh"))
-    ws.drop(occ, lines)
-    home = groups.groupBy("c").agg(F.min("id0").alias("id"))
-    keep = placed.join(home, ["c", "id"]).groupBy("c").agg(F.min(F.struct("id", "no", "th")).alias("k"))
-    gone = placed.join(keep, "c").filter("id <> k.id or th <> k.th or no <> k.no")
+    keep = groups.groupBy("c").agg(F.min("first").alias("k"))
+    kept = groups.select("lh", "c").join(keep, "c").select("lh", "k")
+    gone = occ.join(kept.hint("shuffle_hash"), "lh").filter("id <> k.id or th <> k.th or no <> k.no")
     gone = ws.save(gone.groupBy("id", "th").agg(F.collect_set(F.col("no").cast("int")).alias("gone")))
-    ws.drop(placed, groups)
+    ws.drop(occ, lines, groups)
     free_shuffles(spark)
     return gone
 
 
+def _rest(text: str) -> Column:
+    """The text without the lines numbered in gone: one pass, however many lines there are."""
+    left = "array_join(transform(array_except(sequence(0, size(s) - 1), gone), i -> s[i]), '\n')"
+    return F.expr(f"if(gone is null, null, transform(array(split({text}, '\n')), s -> {left})[0])")
+
+
 def _keys(id_col: str, text_col: str) -> dict:
     return {"id": F.coalesce(F.col(id_col), F.lit(-(2**63))), "th": F.xxhash64(id_col, text_col)}
 
@@ -193,8 +197,7 @@ def dedup(docs: DataFrame, percent: int = 80, shingle: int = 10, bands: int = 10
     base = plain(docs, id_col, text_col).select(*(c.alias(k) for k, c in _keys(id_col, text_col).items()), F.col(text_col).alias("text"))
     gone = removed(ws, base, percent, shingle, bands, rows)
     split = F.split(F.col("text"), "\n")
-    rest = F.when(F.col("gone").isNotNull(), F.array_join(F.filter(split, lambda x, i: ~F.array_contains("gone", i)), "\n"))
-    out = base.join(gone.hint("shuffle_hash"), ["id", "th"], "left").withColumn("kept", rest)
+    out = base.join(gone.hint("shuffle_hash"), ["id", "th"], "left").withColumn("kept", _rest("text"))
     return out.select(
         F.when(F.col("id") != -(2**63), F.col("id")).alias("doc_id"), "th",
         F.when(F.coalesce("text", F.lit("")) == "", 0).otherwise(F.size(split)).cast("long").alias("n_lines"),
@@ -204,13 +207,16 @@ def dedup(docs: DataFrame, percent: int = 80, shingle: int = 10, bands: int = 10
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """docs with their texts' repeated lines taken out; a document that thereby has no line left goes."""
+    """docs with their texts' repeated lines taken out; a document that thereby has no line left goes.
+
+    Rows of null, empty or blank text have no lines and stay as they are; a null id is one id like any other;
+    repeated rows stay together; all columns are kept, whatever their names; an empty table gives an empty one.
+    """
     ws = Workspace(docs.sparkSession, "lines")
     keys = _keys(id_col, text_col)
     gone = removed(ws, docs.select(*(c.alias(k) for k, c in keys.items()), F.col(text_col).alias("text")), **how)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), *(c.alias(k) for k, c in keys.items()))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *(c.alias(k) for k, c in keys.items()))
     rows = rows.join(gone.hint("shuffle_hash"), ["id", "th"], "left")
-    rest = F.filter(F.split(F.col(f"row.{text_col}"), "\n"), lambda x, i: ~F.array_contains("gone", i))
-    rows = rows.withColumn("rest", F.when(F.col("gone").isNotNull(), F.array_join(rest, "\n")))
+    rows = rows.withColumn("rest", _rest(f"row.`{text_col}`"))
     rows = rows.filter(F.col("rest").isNull() | F.col("rest").rlike(r"[^\x20\x09-\x0D]"))
-    return rows.select(*[F.coalesce("rest", f"row.{c}").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
+    return rows.select(*[F.coalesce("rest", f"row.`{c}`").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])

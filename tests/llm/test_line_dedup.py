@@ -1,5 +1,7 @@
 import hashlib
 import random
+import time
+from collections import Counter, defaultdict
 
 from cliploom.llm import line_dedup
 
@@ -7,6 +9,12 @@ SCHEMA = "doc_id long, text string, th int, lines string"
 
 
 def brute(rows, percent, k):
+    """Per id: (lines, removed lines, sha256 of the rest)."""
+    return {i: (n, gone, hashlib.sha256(kept.encode()).hexdigest()) for i, (n, gone, kept) in rest(rows, percent, k).items()}
+
+
+def rest(rows, percent, k):
+    """Per id: (lines, removed lines, the text without them)."""
     lines = []
     for i, t in rows:
         for no, x in enumerate((t or "").split("\n")):
@@ -33,7 +41,7 @@ def brute(rows, percent, k):
     for i, t in rows:
         split = (t or "").split("\n")
         kept = "\n".join(x for no, x in enumerate(split) if (i, no) not in gone)
-        out[i] = (len(split) if t else 0, sum((i, no) in gone for no in range(len(split))), hashlib.sha256(kept.encode()).hexdigest())
+        out[i] = (len(split) if t else 0, sum((i, no) in gone for no in range(len(split))), kept)
     return out
 
 
@@ -60,3 +68,49 @@ def test_empty_and_repeated_rows(spark):
     assert line_dedup.dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     df = spark.createDataFrame([(1, "same line here\nother"), (1, "same line here\nother"), (None, "other")], "doc_id long, text string")
     assert sorted((str(x.doc_id), x.n_removed) for x in line_dedup.dedup(df).collect()) == [("1", 1), ("1", 1), ("None", 0)]
+
+
+def test_a_document_of_very_many_equal_lines(spark):
+    many = "one line\n" * 80_000 + "another line"
+    df = spark.createDataFrame([(1, many), (2, "One  line")], "doc_id long, text string")
+    start = time.monotonic()
+    out = {r.doc_id: r for r in line_dedup.dedup(df).collect()}
+    assert time.monotonic() - start < 60
+    assert (out[1].n_lines, out[1].n_removed, out[1].kept) == (80_001, 79_999, "one line\nanother line") and out[2].n_removed == 1
+    assert [r.text for r in line_dedup.clean(df).collect()] == ["one line\nanother line"]
+
+
+def links(lines, percent, k):
+    """Pairs of distinct normalised lines that are alike, by an inverted index over all their shingles."""
+    sets = [{x} if len(x) < k else {x[j : j + k] for j in range(len(x) - k + 1)} for x in lines]
+    held, both = defaultdict(list), Counter()
+    for n, s in enumerate(sets):
+        for g in s:
+            for m in held[g]:
+                both[m, n] += 1
+            held[g].append(n)
+    return [(a, b) for (a, b), c in both.items() if 100 * c >= percent * (len(sets[a]) + len(sets[b]) - c)]
+
+
+def test_recall_of_the_shipped_bands(spark):
+    """Every pair of alike lines of a table must end in one component; measured on the links brute force finds."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("text is not null")
+    lines = sorted({x for r in docs.collect() for x in map(line_dedup.normal, r.text.split("\n")) if x})
+    lines = [x.decode() for x in lines]
+    want = links(lines, 80, 10)
+    assert len(want) > 100
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    gone = {r.doc_id for r in line_dedup.dedup(df).filter("n_removed > 0").collect()}
+    root = list(range(len(lines)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in want:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    alike = {n for n in range(len(lines)) if find(n) != n}  # all but the first line of each component
+    assert gone <= alike and len(gone) >= 0.9 * len(alike)
+    print("recall", len(gone) / len(alike), "of", len(alike))

@@ -1,10 +1,11 @@
 import brute
 import duckdb
 import test_packing
-from test_line_dedup import brute as brute_lines
+from test_line_dedup import rest as brute_lines
+from test_passages import brute as brute_passages
 
 import corpus_pipeline
-from cliploom.llm import line_dedup, pairwise_quality
+from cliploom.llm import pairwise_quality
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,28 +32,43 @@ def test_stages_against_brute_force(spark, tmp_path):
 
     before, after = (table(x) for x in every["lines"])
     want = brute_lines([(i, r.text) for i, r in before.items()], 80, 10)
-    for i, r in before.items():
-        if not want[i][1]:
-            assert after[i] == r
-        elif i in after:
-            assert want[i][2] == __import__("hashlib").sha256(after[i].text.encode()).hexdigest() and after[i].n_chars == len(after[i].text)
-        else:
-            assert all(not line_dedup.normal(x) for x in r.text.split("\n")) or want[i][1]
+    kept = {i: text for i, (_, gone, text) in want.items() if not gone or text.split()}
+    assert {i: r.text or "" for i, r in after.items()} == kept and len(kept) < len(before)
+    assert sum(gone for _, gone, _ in want.values()) > 100
+    assert all(r == before[i] or r.n_chars == len(r.text) for i, r in after.items())
 
     before, after = (table(x) for x in every["near_duplicates"])
     groups = brute.join([(i, r.text) for i, r in before.items()], 5, 80)
     assert after == {i: r for i, r in before.items() if groups[i][1] == i}
 
     before, after = (table(x) for x in every["repeats"])
-    want = brute.repeats([(i, r.text) for i, r in before.items()], 400)
-    assert all(after[i].text == r.text for i, r in before.items() if not want[i][1])
-    assert all(i not in after or len(after[i].text.encode()) <= want[i][0] - want[i][1] for i in before if want[i][1])
+    want = brute_passages([r.text for r in before.values()], 400, 51)
+    assert {i: r.text for i, r in after.items()} == {i: t for i, t in zip(before, want, strict=True) if t is not None}
 
     rows = [(i, r.text) for i, r in after.items()]
     used, least = test_packing.check(rows, every["packing"][1].collect(), 4096)
     assert used <= least + 1
 
 
+def test_near_copies_of_the_table(spark):
+    """On the texts as they came, where near copies are whole: one document of each group stays, that of least id."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    before = table(docs)
+    groups = brute.join([(i, r.text) for i, r in before.items()], 5, 80)
+    out = table(corpus_pipeline.near_duplicates(spark, docs, SF))
+    assert out == {i: r for i, r in before.items() if groups[i][1] == i} and len(out) < len(before)
+
+
+def test_repeats_of_the_table(spark):
+    """On the texts as they came: passages of over 50 words in several documents go everywhere, other texts stay."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    before = table(docs)
+    want = brute_passages([r.text for r in before.values()], 400, 51)
+    out = {i: r.text for i, r in table(corpus_pipeline.repeats(spark, docs, SF)).items()}
+    assert out == {i: t for i, t in zip(before, want, strict=True) if t is not None}
+    assert sum(out.get(i) != r.text for i, r in before.items()) > 10
+
+
 def test_run(spark):
     assert pairwise_quality.SAMPLE > 0
     assert corpus_pipeline.run(spark, SF).count() > 0
