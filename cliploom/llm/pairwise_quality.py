@@ -127,10 +127,12 @@ def score(docs: DataFrame, model: Ranker, text_col: str = "text", name: str = "s
     if name in docs.columns:
         raise ValueError(f"there is a column {name} already")
     names, width = docs.columns, len(docs.columns)
+    numbered = [f"c{i}" for i in range(width)]  # names that Python workers can be given, whatever those of docs
+    text = numbered[names.index(text_col)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_slices(batches, text_col):
-            x = np.array([features(t) for t in b.column(text_col).to_pylist()])
+        for b in text_slices(batches, text):
+            x = np.array([features(t) for t in b.column(text).to_pylist()])
             yield pa.RecordBatch.from_arrays([*b.columns[:width], pa.array(model(x))], names=[*names, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return docs.toDF(*numbered).mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))

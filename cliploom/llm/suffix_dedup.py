@@ -311,23 +311,26 @@ def clean(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "
 
     With `words`, every passage of so many words that stands more than once goes too, however short in bytes; words
     are what ASCII white space separates. Both are judged on the input. Of a character that a removed span cuts, the
-    remaining bytes go too.
+    remaining bytes go too. Rows of null, empty or blank text stay as they are; a null id is one id like any other;
+    repeated rows count as occurrences of each other; all columns are kept, whatever their names; an empty table
+    gives an empty one.
     """
     ws = Workspace(docs.sparkSession, "suffix")
     keys = _keys(id_col, text_col)
-    held = docs.select(*(c.alias(k) for k, c in keys.items()), F.col(text_col).alias("text"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), *(c.alias(k) for k, c in keys.items()))
+    held = docs.select(*(c.alias(k) for k, c in keys.items()), F.col(f"`{text_col}`").alias("text"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *(c.alias(k) for k, c in keys.items()))
     rows = rows.hint("merge").join(spans(ws, held, width), ["id", "th"], "left")
     if words:
         rows = rows.hint("merge").join(spans(ws, held, words * CODE, words=True).withColumnRenamed("spans", "worded"), ["id", "th"], "left")
     worded = F.col("worded") if words else F.lit(None).cast("array<struct<s: bigint, e: bigint>>")
-    rows = rows.select(*[F.col(f"row.`{c}`") for c in docs.columns], F.col("spans").alias("_spans"), worded.alias("_worded"))
     names, at = docs.columns, docs.columns.index(text_col)
+    # numbered names, because the columns of docs may have any
+    rows = rows.select(*[F.col(f"row.`{c}`").alias("text" if i == at else f"c{i}") for i, c in enumerate(names)], "spans", worded.alias("worded"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in text_slices(batches, text_col):
+        for s in text_slices(batches):
             texts, keep = s.column(at).to_pylist(), []
-            for i, (spans, worded) in enumerate(zip(s.column("_spans").to_pylist(), s.column("_worded").to_pylist(), strict=True)):
+            for i, (spans, worded) in enumerate(zip(s.column("spans").to_pylist(), s.column("worded").to_pylist(), strict=True)):
                 if spans or worded:
                     raw, last, parts = texts[i].encode(), 0, []
                     found = [(x["s"], x["e"]) for x in spans or ()] + _worded(raw, [(x["s"], x["e"]) for x in worded or ()])

@@ -11,7 +11,7 @@ from cliploom.llm import bm25, line_dedup, line_frequency, ngram_join, packing,
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
-EXTRA = ("id", "th", "h", "n", "key", "tokens", "row", "shard", "part", "words", "hashes", "host", "score", "rest", "gone", "spans", "lh", "no", "x", "y", "term", "length", "g")
+EXTRA = ("id", "th", "h", "n", "key", "tokens", "row", "shard", "part", "words", "hashes", "host", "score", "rest", "gone", "spans", "lh", "no", "x", "y", "term", "length", "g", "_spans", "_worded", "worded", "spans_", "c0", "c1", "first", "k", "want", "a.b")
 
 
 @pytest.fixture(scope="module")
@@ -72,10 +72,12 @@ def test_quality(spark, odd):
 @pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
 def test_stage(spark, odd, tmp_path, name, stage):
     spark.createDataFrame([(0, 1, 0), (7, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    docs = odd.select("doc_id", "text", "lang", "source", "n_chars")
-    out = stage(spark, docs, str(tmp_path))
-    assert name == "packing" or out.columns == docs.columns
-    assert out.count() > 0 and stage(spark, docs.limit(0), str(tmp_path)).collect() == []
+    out = stage(spark, odd, str(tmp_path))
+    assert name == "packing" or out.columns == odd.columns
+    rows = out.collect()
+    assert rows and stage(spark, odd.limit(0), str(tmp_path)).collect() == []
+    if name != "packing":
+        assert all(r[c] == c for r in rows for c in EXTRA)  # extra columns come through unchanged
 
 
 def test_tokenizer_is_a_parameter():
