@@ -132,7 +132,8 @@ def similar(ws: Workspace, postings: DataFrame, items: DataFrame, percent: int,
     postings(sig, id): ids with a common sig are candidates. items(id, tokens): what unpack makes each id's sorted
     distinct tokens from (8 bytes a token, if it isn't given). Ids link when 100 * |intersection| >= percent * |union|. The candidates' connected
     clusters are compared inside workers; a cluster of more than `block` bytes is cut into blocks by hash, and
-    every two blocks meet in a worker, so the rows in a worker are bounded and no pair is left out.
+    every two blocks meet in a worker, so the rows in a worker are bounded and no pair is left out. Small clusters
+    share `units` buckets; two blocks of a large one are a bucket of their own, so a task holds two blocks at a time.
     """
     marks = postings.groupBy("sig").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(7))).alias("y"), F.min("id").alias("lead")
@@ -144,8 +145,9 @@ def similar(ws: Workspace, postings: DataFrame, items: DataFrame, percent: int,
     placed = rows.join(blocks, "cluster").withColumn("own", F.pmod(F.xxhash64("id"), "blocks"))
     other = F.when(F.col("blocks") < 2, F.array(F.lit(0).cast("long"))).otherwise(F.filter(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda x: x != F.col("own")))
     placed = placed.withColumn("other", F.explode(other))
-    placed = placed.select("id", "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "tokens")
-    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(units)))
+    placed = placed.select("id", "cluster", "blocks", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "tokens")
+    spot = F.xxhash64("cluster", "i", "j")
+    placed = placed.withColumn("bucket", F.when(F.col("blocks") < 2, F.pmod(spot, F.lit(units))).otherwise(spot)).drop("blocks")
     links = ws.save(placed.groupBy("bucket").applyInArrow(_resolve_bucket(percent, unpack), "a long, b long"))
     found = ws.save(components(ws, links))
     ws.drop(rows, links)

@@ -54,6 +54,9 @@ def _blob_sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 #: Hash ranges at least: a document's tokens meet many ranges at any size, so the tally's rows grow as the tokens.
 FEWEST = 64
 
+#: Ids from here on stand for rows without one, by the hash of their text: greater than any id.
+UNNAMED = 1 << 62
+
 CELLS = "bucket int, ids binary, sizes binary, home binary, counts binary, tokens binary, shared binary"
 
 
@@ -125,7 +128,8 @@ def _tally(table: pa.Table) -> pa.Table:
     counts = [np.frombuffer(x, np.int64).reshape(2, -1) for x in table.column("counts").to_pylist()]
     n, here = np.concatenate(counts, axis=1) if counts else np.zeros((2, 0), np.int64)
     seen = c > 0
-    return pa.table({"id": np.concatenate([home, ids[seen]]), "n": np.concatenate([n, np.zeros(seen.sum(), np.int64)]), "shared": np.concatenate([here, c[seen]])})
+    none = np.zeros(seen.sum(), np.int64)
+    return pa.table({"id": np.concatenate([home, ids[seen]]), "n": np.concatenate([n, none]), "shared": np.concatenate([here, c[seen]]), "times": np.concatenate([np.ones(len(home), np.int64), none])})
 
 
 def _six(raw: bytes) -> np.ndarray:
@@ -135,15 +139,15 @@ def _six(raw: bytes) -> np.ndarray:
 
 
 def tally(rows: DataFrame, units: int, k: int = 0) -> DataFrame:
-    """(id, n, shared): size of each row's set, and how many of its tokens other rows hold too.
+    """(id, n, shared, times): size of each row's set, how many of its tokens other rows hold too, and rows of the id.
 
     rows: (id, text), (id, tokens) with 8 bytes a token, or id and bigint columns of one token each. shared may be too large by hash collisions, never
     too small. Several rows of one id count as rows that share.
     """
     kind = next((c for c in ("tokens", "text") if c in rows.columns), "")
     cells = rows.mapInArrow(_cells(max(units, FEWEST), k, kind), CELLS)
-    parts = cells.groupBy("bucket").applyInArrow(_tally, "id long, n long, shared long")
-    return parts.groupBy("id").agg(F.max("n").alias("n"), F.sum("shared").alias("shared"))
+    parts = cells.groupBy("bucket").applyInArrow(_tally, "id long, n long, shared long, times long")
+    return parts.groupBy("id").agg(F.max("n").alias("n"), F.sum("shared").alias("shared"), F.sum("times").alias("times"))
 
 
 def _tokens(k: int):
@@ -202,16 +206,19 @@ def _signatures(percent: int, classes: tuple):
 
 
 def join(docs: DataFrame, k: int = 5, percent: int = 80, classes: tuple = CLASSES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) for every row of docs.
+    """(doc_id, n_shingles, component_id) for every row of docs.
 
     component_id is the smallest id reachable by links, the row's own id included. Null, empty and wordless
     texts have no shingles and link with nothing. Texts of fewer than k words are one shingle. Rows with equal
-    text link with each other; repeated rows (same id) stay one id, returned once per id. An empty table gives
-    an empty result; extra columns are ignored. Ids must not be null; rows with a null id are left out.
+    text link with each other; rows of one id are one document and get equal results, a row each. Rows with a null
+    id are documents too, one for each text; their component_id is null unless they link with a row that has an id.
+    An empty table gives an empty result; extra columns are ignored. Ids must be under 2**62 (UNNAMED).
     """
     spark = docs.sparkSession
     ws = Workspace(spark, "join")
-    rows = plain(docs, id_col, text_col).toDF("id", "text").filter("id is not null")
+    rows = plain(docs, id_col, text_col).toDF("id", "text")
+    own = F.xxhash64("text").bitwiseAND(F.lit(UNNAMED - 1)).bitwiseOR(F.lit(UNNAMED))
+    rows = rows.withColumn("id", F.coalesce(F.col("id").cast("long"), own))
     units = work_units(rows)
     sizes = ws.save(tally(rows, units, k))
     free_shuffles(spark)
@@ -237,9 +244,10 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, classes: tuple = CLASSE
     free_shuffles(spark)
     # A rep is the smallest id of its class, so the smallest rep of a component is the smallest id in it.
     found = member_of.join(comp.withColumnRenamed("id", "rep"), "rep", "left").groupBy("id").agg(F.min(F.coalesce("component", "rep")).alias("component"))
-    return sizes.select("id", "n").join(found, "id", "left").select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
-    )
+    out = sizes.select("id", "n", "times").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    out = out.withColumn("_", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int"))))
+    named = lambda c: F.when(F.col(c) < UNNAMED, F.col(c))
+    return out.select(named("id").alias("doc_id"), F.col("n").alias("n_shingles"), named("component").alias("component_id"))
 
 
 def needed_col(n: str, percent: int):

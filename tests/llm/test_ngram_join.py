@@ -3,7 +3,8 @@ import random
 import brute
 import duckdb
 
-from cliploom.llm import ngram_join
+from cliploom.llm import graph, ngram_join
+from cliploom.llm._util import Workspace
 
 SCHEMA = "doc_id long, text string, id string, tokens int"
 
@@ -40,3 +41,30 @@ def test_whole_table(spark):
 def test_empty_and_repeated(spark):
     assert run(spark, [], k=4, percent=85) == {}
     assert run(spark, [(5, "a b c d e"), (5, "a b c d e"), (2, "A B C D E")], k=4, percent=85) == {5: (2, 2), 2: (2, 2)}
+
+
+def test_rows_without_an_id(spark):
+    rows = [(None, "a b c d e f"), (None, "A b c d e f"), (None, "a b c d e f"), (7, "a b c d e f"), (None, "x y z"), (None, "x y z"), (9, "q"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in ngram_join.join(df, k=4, percent=85).collect())
+    assert out == [("7", 3, "7"), ("9", 1, "9"), ("None", 0, "None"), ("None", 1, "None"), ("None", 1, "None")] + [("None", 3, "7")] * 3
+
+
+def test_blocks_of_a_large_cluster(spark):
+    """Near copies over several blocks: every two blocks meet, and the links are those of one block."""
+    r = random.Random(5)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(60):
+        w = list(base)
+        for _ in range(r.randint(0, 3)):
+            w[r.randrange(300)] = f"x{r.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    ws = Workspace(spark, "test")
+    items = df.withColumnRenamed("doc_id", "id").mapInArrow(ngram_join._tokens(4), "id long, key binary, tokens binary").select("id", "tokens")
+    postings = df.selectExpr("0L AS sig", "doc_id AS id")
+    want = brute.join(rows, 4, 85)
+    for block in (3_000, 20_000, 8_000_000):
+        out = {x.id: x.component for x in graph.similar(ws, postings, items, 85, 3, block=block).collect()}
+        assert {i: out.get(i, i) for i, _ in rows} == {i: c for i, (_, c) in want.items()}

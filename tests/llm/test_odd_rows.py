@@ -25,7 +25,7 @@ def odd(spark):
 
 
 OPERATORS = {
-    "join": (lambda d: ngram_join.join(d, 4, 85), 9),
+    "join": (lambda d: ngram_join.join(d, 4, 85), 11),
     "suffix": (lambda d: suffix_dedup.remove(d, 400), 11),
     "shard": (sharding.shard, 11),
     "lines": (line_dedup.dedup, 11),
@@ -43,6 +43,9 @@ def test_operator(spark, odd, name):
     assert rows is None or len(got) == rows
     assert run(odd.limit(0)).collect() == []
     if name == "join":
+        assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got if r.doc_id not in (0, 5, 8)) == [
+            ("1", 0, "1"), ("2", 0, "2"), ("3", 0, "3"), ("4", 6, "4"), ("4", 6, "4"), ("6", 0, "6"), ("7", 2, "7"), ("None", 6, "None")
+        ]
         assert {r.doc_id: r.component_id for r in got}[8] == 8
     if name == "search":
         best = {r.query_id: r.doc_id for r in got if r["rank"] == 1}
