@@ -11,7 +11,7 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker handles at once; a single longer text is still handled whole.
@@ -85,6 +85,12 @@ def plain(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`") for c in columns])
 
 
+def without_lines(text: str, gone: str = "gone") -> Column:
+    """The text without the lines whose numbers the array column `gone` has (null: the result is null): one pass."""
+    left = f"array_join(transform(array_except(sequence(0, size(s) - 1), {gone}), i -> s[i]), '\\n')"
+    return F.expr(f"if({gone} is null, null, transform(array(split({text}, '\\n')), s -> {left})[0])")
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES, rows: int = 50_000) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about `limit` bytes of text; no text is cut."""
     for b in batches:

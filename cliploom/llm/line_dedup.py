@@ -14,11 +14,11 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cliploom.llm import graph
-from cliploom.llm._util import Workspace, free_shuffles, mix, plain, text_slices, work_units
+from cliploom.llm._util import Workspace, free_shuffles, mix, plain, text_slices, without_lines, work_units
 from cliploom.llm.ngram_join import tally
 
 _ODD = [np.uint64(int(x) | 1) for x in mix(np.arange(2000, 2064, dtype=np.uint64))]
@@ -174,12 +174,6 @@ def removed(ws: Workspace, base: DataFrame, percent: int = 80, shingle: int = 10
     return gone
 
 
-def _rest(text: str) -> Column:
-    """The text without the lines numbered in gone: one pass, however many lines there are."""
-    left = "array_join(transform(array_except(sequence(0, size(s) - 1), gone), i -> s[i]), '\n')"
-    return F.expr(f"if(gone is null, null, transform(array(split({text}, '\n')), s -> {left})[0])")
-
-
 def _keys(id_col: str, text_col: str) -> dict:
     return {"id": F.coalesce(F.col(id_col), F.lit(-(2**63))), "th": F.xxhash64(id_col, text_col)}
 
@@ -197,7 +191,7 @@ def dedup(docs: DataFrame, percent: int = 80, shingle: int = 10, bands: int = 10
     base = plain(docs, id_col, text_col).select(*(c.alias(k) for k, c in _keys(id_col, text_col).items()), F.col(text_col).alias("text"))
     gone = removed(ws, base, percent, shingle, bands, rows)
     split = F.split(F.col("text"), "\n")
-    out = base.join(gone.hint("shuffle_hash"), ["id", "th"], "left").withColumn("kept", _rest("text"))
+    out = base.join(gone.hint("shuffle_hash"), ["id", "th"], "left").withColumn("kept", without_lines("text"))
     return out.select(
         F.when(F.col("id") != -(2**63), F.col("id")).alias("doc_id"), "th",
         F.when(F.coalesce("text", F.lit("")) == "", 0).otherwise(F.size(split)).cast("long").alias("n_lines"),
@@ -217,6 +211,6 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how
     gone = removed(ws, docs.select(*(c.alias(k) for k, c in keys.items()), F.col(text_col).alias("text")), **how)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *(c.alias(k) for k, c in keys.items()))
     rows = rows.join(gone.hint("shuffle_hash"), ["id", "th"], "left")
-    rows = rows.withColumn("rest", _rest(f"row.`{text_col}`"))
+    rows = rows.withColumn("rest", without_lines(f"row.`{text_col}`"))
     rows = rows.filter(F.col("rest").isNull() | F.col("rest").rlike(r"[^\x20\x09-\x0D]"))
     return rows.select(*[F.coalesce("rest", f"row.`{c}`").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])

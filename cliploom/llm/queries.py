@@ -113,10 +113,10 @@ raw AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM raw WHERE translate(line, {_SPACE}, '') <> '' GROUP BY doc_id),
 base AS (SELECT w.doc_id, len(w) AS n_words, length(translate(text, {_SPACE}, '')) AS word_chars, length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols,
 coalesce(dup.n, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN covered USING (doc_id)),
-norm AS (SELECT d.doc_id, coalesce(d.source, '') AS host, d.text AS copy, trim(regexp_replace(regexp_replace(lower(line), '[0-9]+', '0', 'g'), '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ') AS line FROM raw JOIN documents d USING (doc_id) WHERE d.text IS NOT NULL),
+norm AS (SELECT d.doc_id, coalesce(d.source, '') AS host, trim(regexp_replace(regexp_replace(lower(line), '[0-9]+', '0', 'g'), '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ') AS line FROM raw JOIN documents d USING (doc_id) WHERE d.text IS NOT NULL),
 l AS (SELECT *, length(line) - length(replace(line, ' ', '')) + 1 AS w FROM norm WHERE line <> ''),
-hosts AS (SELECT host, count(DISTINCT copy) AS docs FROM l GROUP BY host),
-often AS (SELECT host, line, count(DISTINCT copy) AS n FROM l GROUP BY host, line),
+hosts AS (SELECT host, count(DISTINCT doc_id) AS docs FROM l GROUP BY host),
+often AS (SELECT host, line, count(DISTINCT doc_id) AS n FROM l GROUP BY host, line),
 bad AS (SELECT host, line FROM often JOIN hosts USING (host) WHERE n > 10 AND n > 0.01 * docs),
 spent AS (SELECT l.doc_id, coalesce(sum(l.w) FILTER (bad.line IS NOT NULL), 0) / sum(l.w) AS gone FROM l LEFT JOIN bad ON bad.host = l.host AND bad.line = l.line GROUP BY l.doc_id)
 SELECT base.*, failed AS base_failed, NOT failed AND coalesce(gone, 0) <= 0.7 AS kept, round(coalesce(gone, 0), 6) AS boilerplate_share

@@ -1,8 +1,11 @@
 """Sharding, URL rules and line frequency: brute force on small fixtures, and plans without Python."""
 
+import math
+import random
 import re
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import duckdb
 
@@ -63,6 +66,48 @@ def test_mined_rules(spark):
     assert all(out[i][0] == ("block" if i % 3 == 0 and i % 2 else "allow") for i in range(120))
 
 
+def blocked(rows, bad, support, confidence, least, lift, chance):
+    """Rows whose tokens hold all of a rule's, from every set of tokens of every labelled row; rows: {id: tokens}."""
+    known = {i: t for i, t in rows.items() if i in bad and t}
+    sets, hits = Counter(), Counter()
+    for i, t in known.items():
+        for k in range(1, len(t) + 1):
+            for c in combinations(sorted(t), k):
+                sets[c] += 1
+                hits[c] += bad[i]
+    n, base = len(known), sum(bad[i] for i in known) / max(1, len(known))
+    if not 0 < base < 1:
+        return set()
+    share = min(1.0, max(support, least / n))
+    tried, rules = sum(c >= share * n for c in sets.values()), []
+    for s, c in sets.items():
+        p = hits[s] / c
+        if hits[s] >= share * n and p >= max(confidence, lift * base):
+            nats = c * (p * math.log(p / base) + ((1 - p) * math.log((1 - p) / (1 - base)) if p < 1 else 0))
+            if math.log(tried) - nats <= math.log(chance):
+                rules.append(set(s))
+    return {i for i, t in rows.items() if any(r <= set(t) for r in rules)}
+
+
+def test_shipped_parameters(spark):
+    """A known signal is found by the registered query's parameters and none by labels that ignore the URL: as brute force."""
+    r = random.Random(11)
+    urls = {i: f"{r.choice(['http', 'https'])}://{r.choice(['www', 'm', 'win'])}.site{r.randrange(4)}.org/{r.choice(['en', 'de'])}/{r.choice(['casino/', 'news/', ''])}{i}.html" for i in range(900)}
+    spam = {i: "://win." in u and "/casino/" in u for i, u in urls.items()}
+    noisy = {i: r.random() < (0.9 if spam[i] else 0.15) for i in range(0, 900, 2)}
+    chance = {i: r.random() < 0.25 for i in range(0, 900, 2)}
+    pages = spark.createDataFrame(list(urls.items()), "page_id long, url string").repartition(3)
+    cut = pages.withColumns({"host": url_rules.host("url"), "path": url_rules.path("url")})
+    items = {x.page_id: x.t for x in cut.select("page_id", url_rules.tokens("url").alias("t")).collect()}
+    for bad, some in ((noisy, True), (chance, False)):
+        labels = spark.createDataFrame([(i, 0 if b else 1, 0) for i, b in bad.items()], "doc_id long, quality int, toxic int")
+        out = {x.page_id: x for x in url_rules.judge(pages, labels).collect()}
+        want = blocked(items, bad, 0.002, 0.5, 5, 1.5, 0.05)
+        assert {i for i, x in out.items() if x.verdict == "block"} == want and (len(want) > 50) == some
+        assert all(x.mined_rule is not None for i, x in out.items() if i in want)
+    assert want == set()
+
+
 def test_line_figures(spark):
     rows = duckdb.sql(f"select doc_id, text, source from '{SF}/documents.parquet'").fetchall()
     rows += [(10**6, None, None), (10**6 + 1, "", "s"), (10**6 + 2, "a b c d e a b c d e f", "s"), (10**6 + 3, "x " * 30 + "\nq\nq\n \n#", "s"), (10**6 + 4, "a b c d e \n a  b\tc d\x0be g\x1ch", "s")]
@@ -88,7 +133,22 @@ def test_line_limits(spark):
     rows = [(i, f"{common.replace('12', str(i))}\n" + ("one more word" if i < 5 else " ".join(chr(97 + i % 26) * (1 + i // 26) + chr(97 + j) for j in range(26))), "a") for i in range(40)]
     rows += [(100 + i, common + "\nshort", "b") for i in range(3)] + [(200 + i, "exact copy of a text of more than ten words in one host", "c") for i in range(30)]
     out = {r.doc_id: r.kept for r in line_frequency.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
-    assert [i for i, k in out.items() if not k] and sorted(i for i, k in out.items() if not k) == [0, 1, 2, 3, 4]
+    assert sorted(i for i, k in out.items() if not k) == [0, 1, 2, 3, 4, *range(200, 230)]
+
+
+def test_lines_are_removed(spark):
+    """clean() takes out the lines that over ten documents of a host have, and the documents that judge() rejects."""
+    menu = "Home  About Contact 12"
+    body = lambda i: " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + j)}" for j in range(14))
+    rows = [(i, f"{menu.upper() if i % 2 else menu}\n{body(i)}\n\n{menu}", "a") for i in range(11)] + [(20, f"{menu}\n{body(20)}", "b"), (21, f"{menu}\n" * 20 + "three own words", "a"), (22, "too short", "a"), (23, None, "a")]
+    rows += [(None, f"{menu}\n{body(30)}", "a"), (None, f"{menu}\n{body(30)}", "a")]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, source string, gone string, `hits.no` int").repartition(3)
+    out = line_frequency.clean(df)
+    assert out.columns == df.columns
+    want = [(str(i), f"{body(i)}\n") for i in range(11)] + [("20", f"{menu}\n{body(20)}")] + [("None", body(30))] * 2
+    assert sorted((str(r.doc_id), r.text) for r in out.collect()) == sorted(want)
+    kept = {str(r.doc_id) for r in line_frequency.judge(df).filter("kept").collect()}
+    assert kept == {i for i, _ in want} and line_frequency.clean(df.limit(0)).collect() == []
 
 
 def test_registered(spark):
