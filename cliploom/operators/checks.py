@@ -66,6 +66,27 @@ def physical_score(penalties: dict[str, Column]) -> Column:
     return F.greatest(F.lit(0.0), 100 - total)
 
 
+def motion_scores(frames: DataFrame, joints: dict[str, float], fps: float, seconds: float = 1.0, distance: float = 0.05, margin: float = 0.01, most: int = 10, key: str = "motion_id", step: str = "step") -> DataFrame:
+    """(key, frames, the six penalties, score) of frames(key, step, slide, floor_min_dist, non_floor_contact_count, joints).
+
+    joints: velocity column -> limit; slide: the feet's part in a frame. All penalties come from one sort a clip.
+    Without joints there is neither violation nor jerk; floating is as in sustained_ratio over `distance` from the floor.
+    """
+    w = W.partitionBy(key).orderBy(step)
+    size, zero = max(1, int(seconds * fps)), F.lit(0.0)
+    over = sum((F.greatest(F.abs(F.col(c)) - limit, zero) for c, limit in joints.items()), zero) / max(1, len(joints))
+    change = sum((((F.col(c) - F.coalesce(F.lag(c).over(w), F.col(c))) * fps) ** 2 for c in joints), zero)
+    rows = frames.withColumns({"_n": F.row_number().over(w), "_air": F.col("floor_min_dist") > distance, "_over": over, "_jerk": 0.01 * F.sqrt(change)})
+    rows = rows.withColumn("_run", F.coalesce(F.max(F.when(~F.col("_air"), F.col("_n"))).over(w), F.lit(0)))
+    floating = (F.col("_air") & (F.col("_n") - F.col("_run") >= size)).cast("int")
+    out = rows.groupBy(key).agg(
+        F.count("*").alias("frames"), F.avg("slide").alias("foot_sliding"), F.avg("_over").alias("velocity_violation"),
+        F.avg(F.least("non_floor_contact_count", F.lit(most))).alias("self_collision"), F.avg("_jerk").alias("jerk"),
+        F.avg(F.greatest(-F.col("floor_min_dist") - margin, zero)).alias("penetration"), (F.sum(floating) / F.count("*")).alias("floating_frames_ratio"),
+    )
+    return out.withColumn("score", physical_score({k: F.col(k) for k in WEIGHTS}))
+
+
 def status(score: Column, threshold: float = KEPT_FROM) -> Column:
     return F.when(score >= threshold, "kept").otherwise("rejected")
 

@@ -93,9 +93,10 @@ def self_collision(v: Views) -> DataFrame:
     return v.scores.select("motion_id", r9("self_collision").alias("self_collision"))
 
 
-@plan("SELECT motion_id, frames, score AS physical_score FROM v_scores")
+@plan("SELECT motion_id, frames, round(foot_sliding, 8) AS foot_sliding, round(velocity_violation, 8) AS velocity_violation, round(self_collision, 8) AS self_collision, round(jerk, 7) AS jerk, round(penetration, 8) AS penetration, round(floating_frames_ratio, 9) AS floating_frames_ratio, score AS physical_score FROM v_scores")
 def physical_score(v: Views) -> DataFrame:
-    return v.scores.select("motion_id", "frames", F.col("score").alias("physical_score"))
+    each = [F.round(c, 8).alias(c) for c in ("foot_sliding", "velocity_violation", "self_collision", "penetration")]
+    return v.scores.select("motion_id", "frames", *each, F.round("jerk", 7).alias("jerk"), r9("floating_frames_ratio").alias("floating_frames_ratio"), F.col("score").alias("physical_score"))
 
 
 @plan("SELECT motion_id, score, CASE WHEN score >= 90 THEN 'kept' ELSE 'rejected' END AS status FROM v_scores")
@@ -139,9 +140,9 @@ def bin_labels(v: Views) -> DataFrame:
     return _sample(v).select(F.concat_ws(": ", "label", F.col("motion_id").cast("string")).alias("choice"))
 
 
-@plan("SELECT score, count(*) AS n FROM v_scores GROUP BY score HAVING count(*) > 1")
+@plan("SELECT round(score, 1) AS score, count(*) AS n FROM v_scores GROUP BY round(score, 1) HAVING count(*) > 1")
 def duplicate_keys(v: Views) -> DataFrame:
-    return catalog.duplicates(v.scores, "score")
+    return catalog.duplicates(v.scores.select(F.round("score", 1).alias("score")), "score")
 
 
 @plan("SELECT 'clip_' || lpad(CAST(motion_id AS VARCHAR), 6, '0') || '.npz' AS filename FROM v_scores WHERE score >= 90")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cliploom.functions import degrees_to_radians, integer_resampled_length, resampled_length, source_fps, window_length
 from cliploom.operators import checks, kinematics, segments, serve
 from cliploom.plans.registry import plan
+from cliploom.plans.rigid import VEL, moving
 from cliploom.plans.views import FPS, Views, r9
 
 HIGH = "x > 100"
@@ -58,22 +59,43 @@ def floating_ratio(v: Views) -> DataFrame:
     return out.select("motion_id", r9("ratio").alias("ratio"))
 
 
-FLAGS = f"SELECT l.motion_id, coalesce(m.spike, false) AS spike, l.length < 60 AS short, coalesce(max(r.len), 0) / 50.0 > 0.3 AS air FROM v_lengths l LEFT JOIN (SELECT motion_id, bool_or(abs(x) > 485) AS spike FROM v_frames GROUP BY motion_id) m USING (motion_id) LEFT JOIN (SELECT * FROM ({RUNS}) WHERE f) r USING (motion_id) GROUP BY ALL"
+FLAGS = f"""SELECT l.motion_id, coalesce(m.root, false) AS root_qvel_spike, coalesce(m.pos, false) AS joint_pos_spike, coalesce(m.vel, false) AS joint_vel_spike, coalesce(b.lin, false) AS body_lin_vel_spike,
+    coalesce(b.ang, false) AS body_ang_vel_spike, l.length < 60 AS too_short, coalesce(b.most, 0) <= 1 AS no_dynamic_bodies, coalesce(b.run, 0) / 50.0 > 0.05 AS all_bodies_off_ground_too_long, coalesce(b.top <= 0.9, false) AS max_body_height_too_low
+    FROM v_lengths l LEFT JOIN (SELECT motion_id, bool_or(abs(u0) > 780) AS root, bool_or(greatest(abs(j0), abs(j1)) > 16.2) AS pos, bool_or(greatest(abs(u0), abs(u1)) > 790) AS vel FROM ({VEL}) GROUP BY motion_id) m USING (motion_id)
+    LEFT JOIN (SELECT motion_id, bool_or(lin) AS lin, bool_or(ang) AS ang, max(most) AS most, max(top) AS top, max(run) AS run FROM (SELECT *, CASE WHEN f THEN count(*) OVER (PARTITION BY motion_id, f, g) ELSE 0 END AS run FROM (
+    SELECT *, n - row_number() OVER (PARTITION BY motion_id, f ORDER BY n) AS g FROM (SELECT *, row_number() OVER (PARTITION BY motion_id ORDER BY step) AS n FROM (SELECT motion_id, step, min(z) > 0.2 AS f, max(z) AS top, count(*) AS most,
+    bool_or(round(sqrt(vx * vx + vy * vy + vz * vz), 9) > 12.5) AS lin, bool_or(round(sqrt(vy * vy + vx * vx), 9) > 12) AS ang FROM v_bodies GROUP BY motion_id, step)))) GROUP BY motion_id) b USING (motion_id)"""
 
 
 def _reasons(v: Views) -> DataFrame:
-    spikes = v.frames.groupBy("motion_id").agg(checks.spike([F.col("x")], 485).alias("spike"))
-    runs = checks.longest_run(v.frames, F.expr(HIGH))
-    flags = {"joint_pos_spike": F.col("spike"), "too_short": F.col("n") < 60, "all_bodies_off_ground_too_long": F.col("longest_run") / FPS > 0.3}
-    return spikes.join(runs, "motion_id").select("motion_id", checks.reasons(flags).alias("reasons"))
-
-
-@plan(f"SELECT motion_id, concat_ws(',', CASE WHEN spike THEN 'joint_pos_spike' END, CASE WHEN short THEN 'too_short' END, CASE WHEN air THEN 'all_bodies_off_ground_too_long' END) AS reasons, NOT (spike OR short OR air) AS is_valid FROM ({FLAGS})")
+    """Every check of a clip: joints from its frames, bodies from those of the same motion; a clip without bodies has none."""
+    joints = moving(v).groupBy("motion_id").agg(
+        checks.spike([F.col("u0")], 780).alias("root_qvel_spike"), checks.spike([F.col("j0"), F.col("j1")], 16.2).alias("joint_pos_spike"),
+        checks.spike([F.col("u0"), F.col("u1")], 790).alias("joint_vel_spike"), F.count("*").alias("n"),
+    )
+    square = lambda *names: F.round(F.sqrt(sum((F.col(c) ** 2 for c in names), F.lit(0.0))), 9)
+    steps = v.bodies.groupBy("motion_id", "step").agg(
+        F.min("z").alias("low"), F.max("z").alias("top"), F.count("*").alias("most"),
+        checks.spike([square("vx", "vy", "vz")], 12.5).alias("lin"), checks.spike([square("vy", "vx")], 12).alias("ang"),
+    )
+    runs = checks.longest_run(steps, F.col("low") > checks.GROUND).drop("n")
+    bodies = steps.groupBy("motion_id").agg(F.bool_or("lin").alias("body_lin_vel_spike"), F.bool_or("ang").alias("body_ang_vel_spike"), F.max("most").alias("most"), F.max("top").alias("top"))
+    held = joints.join(bodies.join(runs, "motion_id"), "motion_id", "left")
+    flags = {c: F.coalesce(c, F.lit(False)) for c in ("root_qvel_spike", "joint_pos_spike", "joint_vel_spike", "body_lin_vel_spike", "body_ang_vel_spike")}
+    flags |= {"too_short": F.col("n") < 60, "no_dynamic_bodies": F.coalesce("most", F.lit(0)) <= 1}
+    flags |= {"all_bodies_off_ground_too_long": F.coalesce("longest_run", F.lit(0)) / FPS > 0.05, "max_body_height_too_low": F.coalesce(F.col("top") <= 0.9, F.lit(False))}
+    return held.select("motion_id", checks.reasons(flags).alias("reasons"))
+
+
+NAMED = ", ".join(f"CASE WHEN {r} THEN '{r}' END" for r in checks.REASONS)
+
+
+@plan(f"SELECT motion_id, concat_ws(',', {NAMED}) AS reasons, NOT ({' OR '.join(checks.REASONS)}) AS is_valid FROM ({FLAGS})")
 def filter_reasons(v: Views) -> DataFrame:
     return _reasons(v).select("motion_id", F.array_join("reasons", ",").alias("reasons"), (F.size("reasons") == 0).alias("is_valid"))
 
 
-EACH = f"SELECT motion_id, unnest(list_filter([CASE WHEN spike THEN 'joint_pos_spike' END, CASE WHEN short THEN 'too_short' END, CASE WHEN air THEN 'all_bodies_off_ground_too_long' END], lambda r: r IS NOT NULL)) AS reason FROM ({FLAGS})"
+EACH = f"SELECT motion_id, unnest(list_filter([{NAMED}], lambda r: r IS NOT NULL)) AS reason FROM ({FLAGS})"
 
 
 @plan(f"SELECT reason, count(*) AS n FROM ({EACH}) GROUP BY reason")

@@ -20,9 +20,13 @@ SQL = {
     "v_bodies": "SELECT s.motion_id, s.step, l.l_orderkey AS frame, row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate, l_returnflag, l_linestatus) AS body, round(l_quantity / 50, 9) AS z, round(100 * l_discount, 9) AS vx, round(100 * l_tax, 9) AS vy, round(l_extendedprice / 50000 - 1, 9) AS vz FROM v_steps s JOIN lineitem l ON l.l_orderkey = s.o_orderkey",
     "v_contacts": "SELECT l_orderkey AS frame, l_linestatus = 'F' AS is_floor, round(l_discount - 0.05, 9) AS dist FROM lineitem",
     "v_summary": "SELECT s.motion_id, s.step, s.o_orderkey AS frame, coalesce(min(c.dist) FILTER (c.is_floor), 100.0) AS floor_min_dist, count(*) FILTER (NOT c.is_floor AND c.dist < 0) AS non_floor_contact_count, count(c.dist) AS n FROM v_steps s LEFT JOIN v_contacts c ON c.frame = s.o_orderkey GROUP BY ALL",
-    "v_scores": """SELECT motion_id, count(*) AS frames, avg(greatest(-floor_min_dist - 0.01, 0.0)) AS penetration, avg(least(non_floor_contact_count, 10)) AS self_collision,
-        round(greatest(0.0, 100 - 216.62 * avg(greatest(-floor_min_dist - 0.01, 0.0)) - 0.17 * avg(least(non_floor_contact_count, 10)) - 1.70 * avg(f.slide)), 9) AS score
-        FROM (SELECT s.*, coalesce(b.slide, 0.0) AS slide FROM v_summary s LEFT JOIN (SELECT frame, sum(CASE WHEN z < 0.05 THEN 5 * greatest(sqrt(vx * vx + vy * vy) - 0.10, 0.0) ELSE 0.0 END) AS slide FROM v_bodies WHERE body <= 2 GROUP BY frame) b USING (frame)) f GROUP BY motion_id""",
+    "v_feet": "SELECT frame, sum(CASE WHEN z < 0.05 THEN 5 * greatest(sqrt(vx * vx + vy * vy) - 0.10, 0.0) ELSE 0.0 END) AS slide, coalesce(max(21 * vz) FILTER (body = 1), 0.0) AS u0, coalesce(max(31 * vz) FILTER (body = 2), 0.0) AS u1 FROM v_bodies WHERE body <= 2 GROUP BY frame",
+    "v_graded": """SELECT *, 0.01 * sqrt(pow((u0 - coalesce(lag(u0) OVER w, u0)) * 50, 2) + pow((u1 - coalesce(lag(u1) OVER w, u1)) * 50, 2)) AS jerk, step - row_number() OVER (PARTITION BY motion_id, air ORDER BY step) AS g
+        FROM (SELECT s.*, floor_min_dist > 0.05 AS air, coalesce(slide, 0.0) AS slide, coalesce(u0, 0.0) AS u0, coalesce(u1, 0.0) AS u1 FROM v_summary s LEFT JOIN v_feet USING (frame)) WINDOW w AS (PARTITION BY motion_id ORDER BY step)""",
+    "v_scores": """SELECT *, round(greatest(0.0, 100 - 1.70 * foot_sliding - 44.22 * velocity_violation - 0.17 * self_collision - 0.28 * jerk - 216.62 * penetration - 24.19 * floating_frames_ratio), 9) AS score FROM (
+        SELECT motion_id, count(*) AS frames, avg(slide) AS foot_sliding, avg((greatest(abs(u0) - 20, 0) + greatest(abs(u1) - 30, 0)) / 2) AS velocity_violation, avg(least(non_floor_contact_count, 10)) AS self_collision,
+        avg(jerk) AS jerk, avg(greatest(-floor_min_dist - 0.01, 0.0)) AS penetration, coalesce(any_value(floating), 0) / count(*) AS floating_frames_ratio FROM v_graded JOIN (
+        SELECT motion_id, sum(greatest(n - 2, 0)) FILTER (air) AS floating FROM (SELECT motion_id, air, g, count(*) AS n FROM v_graded GROUP BY motion_id, air, g) GROUP BY motion_id) r USING (motion_id) GROUP BY motion_id)""",
     "v_embed": "SELECT vec_id, label, embedding FROM embeddings",
     "v_elements": "SELECT vec_id, label, CAST(unnest(range(64)) AS BIGINT) AS step, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings",
     "v_points": "SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y, CAST(embedding[3] AS DOUBLE) AS z FROM embeddings",
@@ -118,16 +122,12 @@ class Views:
 
     @cached_property
     def scores(self) -> DataFrame:
-        from cliploom.operators.checks import foot_sliding, physical_score
+        from cliploom.operators.checks import foot_sliding, motion_scores
 
-        slide = self.bodies.filter("body <= 2").groupBy("frame").agg(F.sum(foot_sliding(F.col("z"), F.col("vx"), F.col("vy"))).alias("slide"))
-        rows = self.summary.join(slide, "frame", "left").withColumn("slide", F.coalesce("slide", F.lit(0.0)))
-        out = rows.groupBy("motion_id").agg(
-            F.count("*").alias("frames"), F.avg(F.greatest(-F.col("floor_min_dist") - 0.01, F.lit(0.0))).alias("penetration"),
-            F.avg(F.least("non_floor_contact_count", F.lit(10))).alias("self_collision"), F.avg("slide").alias("foot_sliding"),
-        )
-        score = physical_score({k: F.col(k) for k in ("penetration", "self_collision", "foot_sliding")})
-        return out.withColumn("score", F.round(score, 9))
+        pick = lambda body, speed: F.coalesce(F.max(F.when(F.col("body") == body, speed * F.col("vz"))), F.lit(0.0))
+        feet = self.bodies.filter("body <= 2").groupBy("frame").agg(F.sum(foot_sliding(F.col("z"), F.col("vx"), F.col("vy"))).alias("slide"), pick(1, 21).alias("u0"), pick(2, 31).alias("u1"))
+        rows = self.summary.join(feet, "frame", "left").fillna(0.0, ["slide", "u0", "u1"])
+        return motion_scores(rows, {"u0": 20.0, "u1": 30.0}, FPS, seconds=0.06).withColumn("score", F.round("score", 9))
 
     @cached_property
     def embed(self) -> DataFrame:

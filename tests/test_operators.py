@@ -181,6 +181,16 @@ def test_segments(spark):
     assert sorted(r.out_step for r in segments.concatenated(parts, "g", "p", "step").collect()) == list(range(6))
 
 
+def test_motion_scores(spark):
+    rows = [(0, t, 0.0, d, c, u, 0.0) for t, (d, c, u) in enumerate([(100.0, 0, 0.0), (-0.05, 2, 33.0), (-0.005, 12, 33.0)])]
+    df = spark.createDataFrame(rows, "motion_id long, step long, slide double, floor_min_dist double, non_floor_contact_count long, u0 double, u1 double")
+    out = checks.motion_scores(df, {"u0": 30.0, "u1": 20.0}, 1.0).first()
+    assert (round(out.penetration, 9), round(out.floating_frames_ratio, 9), out.self_collision) == (round(0.04 / 3, 9), round(1 / 3, 9), 4.0)
+    assert (out.velocity_violation, round(out.jerk, 9), out.foot_sliding, out.frames) == (1.0, round(0.33 / 3, 9), 0.0, 3)
+    assert round(out.score, 6) == round(100 - 44.22 - 0.17 * 4 - 0.28 * 0.11 - 216.62 * 0.04 / 3 - 24.19 / 3, 6)
+    assert checks.motion_scores(df, {}, 1.0, seconds=3).first().floating_frames_ratio == 0
+
+
 def test_score_bins(spark):
     scores = [100.001, 100.0, 97.0, 95.0, 94.999, 90.0, 85.0, 80.0, 70.0, 60.0, 59.999, float("nan")]
     df = spark.createDataFrame([(s,) for s in scores], "s double")
