@@ -33,20 +33,23 @@ def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: s
 
     size is the text's UTF-8 bytes plus 8 (null: 8), text_crc32 that of the bytes (null: of none). The id alone
     decides the shard, so repeated rows share one and a null id has the shard of id 0; one more shard takes
-    rows only into itself (grown_shard). slot numbers a shard's rows from 0 without gaps: rows are cut into
-    even parts first, and each part's numbers start where the parts before it end, so no shard is sorted or
-    gathered as a whole. An empty table gives an empty result; extra columns are ignored.
+    rows only into itself (grown_shard). slot numbers a shard's rows from 0 without gaps in order of their ids (a null
+    id first, rows of one id by size and crc): rows are dealt into sorted ranges of (shard, id), and a range's numbers
+    start where the ranges before it end, so no shard is sorted or gathered as a whole. An empty table gives an empty
+    result; extra columns are ignored.
     """
     ws = Workspace(docs.sparkSession, "sharding")
     rows = plain(docs, id_col, text_col).toDF("doc_id", "text")
-    parts = work_units(rows)
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = rows.select("doc_id", (F.octet_length(text) + F.lit(8)).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    rows = rows.withColumn("row", F.monotonically_increasing_id()).withColumn("part", F.pmod(F.xxhash64("row"), F.lit(parts)))
     rows = rows.withColumn("id", F.col("doc_id").cast("long"))
     rows = ws.save(rows.withColumn("shard", jump("id", shards)).withColumn("grown_shard", jump("id", shards + 1)).drop("id"))
+    order = ("shard", "doc_id", "size", "text_crc32")
+    placed = rows.repartitionByRange(work_units(rows), *order).sortWithinPartitions(*order)
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = ws.save(placed.select("*", F.spark_partition_id().alias("part"), at.alias("at")))
     before = W.partitionBy("shard").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    starts = rows.groupBy("shard", "part").agg(F.count("*").alias("n")).select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    slot = F.row_number().over(W.partitionBy("shard", "part").orderBy("doc_id", "row")) - 1
-    numbered = rows.withColumn("i", slot).join(starts, ["shard", "part"])
-    return numbered.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("start") + F.col("i")).cast("long").alias("slot"), "grown_shard")
+    starts = placed.groupBy("shard", "part").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    starts = starts.select("shard", "part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    numbered = placed.join(F.broadcast(starts), ["shard", "part"])  # a row for each range, and one more for each shard
+    return numbered.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("at") + F.col("shift")).cast("long").alias("slot"), "grown_shard")
