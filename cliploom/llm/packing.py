@@ -9,6 +9,7 @@ or a round brings nothing.
 
 from __future__ import annotations
 
+import json
 import unicodedata
 import zlib
 from array import array
@@ -28,6 +29,15 @@ PARTITION = 40_000
 #: Distinct words whose ids a worker remembers.
 REMEMBERED = 250_000
 
+#: The rules of tokenizer files whose words can be encoded one by one.
+RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+}
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -37,13 +47,18 @@ class WordIds:
 
     White space set between a letter or digit and a following full stop or comma changes no id, as they are
     split there anyway; it leaves fewer distinct words. Words of lower-case letters alone go straight to the
-    model, all others through the whole tokenizer.
+    model, all others through the whole tokenizer. Files with other rules than RULES, and texts that name a special
+    token, are left to the library as they are.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            told = json.load(f)
+        self.by_word = all(told.get(k) == v for k, v in RULES.items()) and told["model"]["type"] == "BPE" and not told["model"].get("dropout")
+        self.special = [t["content"] for t in told.get("added_tokens") or ()]
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; others follow 256
         hidden = [b for b in range(256) if b not in set(shown)]
         self.shown = {b: 256 + n for n, b in enumerate(hidden)}
@@ -72,6 +87,10 @@ class WordIds:
 
     def __call__(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) and the rows' offsets."""
+        if not self.by_word or any(pc.any(pc.match_substring(text, t, ignore_case=True)).as_py() for t in self.special):
+            each = self.tokenizer.encode_batch_fast([t or "" for t in text.to_pylist()], add_special_tokens=False)
+            ids = [np.array(e.ids, np.uint32) for e in each]
+            return np.concatenate([np.empty(0, np.uint32), *ids]), np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)])
         lower = pc.replace_substring_regex(pc.ascii_lower(pc.fill_null(text, "")), r"([a-z0-9])([.,])", r"\1 \2")
         words = pc.ascii_split_whitespace(lower)
         flat, offsets = words.flatten(), words.offsets.to_numpy().astype(np.int64)

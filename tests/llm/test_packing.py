@@ -86,3 +86,15 @@ def test_bounds_never_exceed_the_best():
         assert packing.lower_bound(np.array(sizes), 20) <= least <= len(room)
         assert all(bins[i] != bins[j] or offsets[i] + sizes[i] <= offsets[j] or offsets[j] + sizes[j] <= offsets[i] for i, j in combinations(range(7), 2))
     assert packing.lower_bound(np.array([11, 11, 11]), 20) == 3
+
+
+def test_other_tokenizers_and_special_tokens():
+    """A file with other rules, and texts that name a special token, get the library's own ids."""
+    texts = ["Some Words, here 12", None, "", "it's <|endoftext|> and <|ENDOFTEXT|>x", "é\u00a0Straße\n\n  x.y"]
+    for name, by_word in (("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)):
+        path = public_tokenizers.path(name)
+        library, own = Tokenizer.from_file(path), packing.WordIds(path)
+        assert own.by_word == by_word
+        for some in (texts, texts[:3], texts[4:]):
+            ids, offsets = own(pa.array(some, pa.string()))
+            assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == [library.encode(t or "", add_special_tokens=False).ids for t in some]
