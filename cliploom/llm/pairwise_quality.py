@@ -109,15 +109,16 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", use=None) -> Ranker:
     """Fit on at most `sample` labelled rows (those of least hash of their id) for which `use` (a Column) holds.
 
-    Rows with a null label, id or text are left out; of an id labelled twice the greatest label counts; without
-    rows of both labels every document scores alike.
+    Rows with a null label, id or text are left out; of an id labelled twice the greatest label counts, of an id
+    with several texts the least; without rows of both labels every document scores alike.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label).alias("y")).filter("id is not null and y is not null")
     known = known.filter(F.lit(True) if use is None else use).groupBy("id").agg(F.max("y").alias("y"))
     known = known.orderBy(F.xxhash64("id"), "id").limit(sample)
     rows = plain(docs, id_col, text_col).toDF("id", "text").filter("text is not null")
-    table = rows.join(F.broadcast(known), "id").mapInArrow(_features, "id long, y int, x array<double>")
-    got = sorted((r.id, r.y, tuple(r.x)) for r in table.collect())  # at most `sample` short rows, but for repeated ids
+    held = rows.join(F.broadcast(known), "id").groupBy("id", "y").agg(F.min("text").alias("text"))
+    table = held.mapInArrow(_features, "id long, y int, x array<double>")
+    got = sorted((r.id, r.y, tuple(r.x)) for r in table.collect())  # at most `sample` short rows
     return Ranker(np.array([r[2] for r in got]).reshape(-1, len(NAMES)), np.array([r[1] for r in got]))
 
 
