@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cliploom.plans.registry import ORACLES, PLANS
 from cliploom.plans.views import Views, prelude
-from cliploom.plans import bodies, catalog, embeds, frames, rigid, segments, streams  # noqa: F401  fill the registry
+from cliploom.plans import bodies, catalog, embeds, files, frames, rigid, segments, streams  # noqa: F401  fill the registry
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

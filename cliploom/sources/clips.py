@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import atexit
 import hashlib
 import json
 import os
+import shutil
 import tarfile
+import tempfile
+import uuid
 from collections.abc import Iterator, Sequence
 from pathlib import Path, PurePosixPath
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
@@ -275,13 +280,62 @@ def is_current(meta: dict, wanted: dict) -> bool:
     return all(meta.get(k) == v for k, v in wanted.items())
 
 
-def cached(spark: SparkSession, folder: str, key: str, build) -> DataFrame:  # noqa: ANN001
-    """The table under folder/key, built once; Spark's commit protocol publishes it whole or not at all."""
-    path = f"{folder}/{key}"
-    jvm = spark._jvm
-    done = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
-        build().write.mode("overwrite").parquet(path)
+def scratch(spark: SparkSession) -> str:
+    """A new folder in the cluster's shared one (spark.checkpoint.dir), deleted at exit; local sessions may do without."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    base = (shared or tempfile.gettempdir()).removeprefix("file://")
+    folder = f"{base}/cliploom-files-{uuid.uuid4().hex[:12]}"
+    os.makedirs(folder)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+def _fs(spark: SparkSession, path: str):  # noqa: ANN202
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def cache_settings(spark: SparkSession, path: str) -> dict | None:
+    """The settings of a published cache; None if there is none."""
+    fs, told = _fs(spark, f"{path}/_settings.json")
+    if not fs.exists(told):
+        return None
+    stream = fs.open(told)
+    text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return json.loads(text)
+
+
+def cached(spark: SparkSession, folder: str, key: str, build, settings: dict | None = None) -> DataFrame:  # noqa: ANN001
+    """The table under folder/key, built once for its settings.
+
+    A builder writes to a folder of its own and publishes it whole by a rename that fails if another was first; the
+    loser reads the winner's table. A cache of other settings is replaced.
+    """
+    path, settings = f"{folder}/{key}", settings or {}
+    there = cache_settings(spark, path)
+    if there is not None and is_current(there, settings) and is_current(settings, there):
+        return spark.read.parquet(path)
+    own = f"{folder}/.{key}-{uuid.uuid4().hex}"
+    build().write.parquet(own)
+    fs, stage = _fs(spark, own)
+    out = fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{own}/_settings.json"))
+    out.write(bytearray(json.dumps(settings, sort_keys=True).encode()))
+    out.close()
+    _, final = _fs(spark, path)
+    if there is not None:
+        fs.delete(final, True)
+    options = spark._jvm.org.apache.hadoop.fs.Options
+    plain = spark.sparkContext._gateway.new_array(options.Rename, 0)
+    try:
+        files = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+        files.rename(fs.makeQualified(stage), fs.makeQualified(final), plain)
+    except Py4JJavaError as e:
+        fs.delete(stage, True)
+        if "FileAlreadyExists" not in str(e.java_exception):
+            raise
     return spark.read.parquet(path)
 
 

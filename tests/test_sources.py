@@ -131,6 +131,14 @@ def test_cache(spark, dataset):
 
     assert clips.cached(spark, f"{dataset}/cache", key, build).count() == clips.cached(spark, f"{dataset}/cache", key, build).count() == 3
     assert built == [1]
+    assert clips.cached(spark, f"{dataset}/cache", key, build, {"stride": 2}).count() == 3 and built == [1, 1]  # other settings
+
+    def late():
+        clips.cached(spark, f"{dataset}/cache", "race", lambda: spark.range(5), {"v": 1})  # another builder is first
+        return spark.range(7)
+
+    assert clips.cached(spark, f"{dataset}/cache", "race", late, {"v": 1}).count() == 5
+    assert sorted(p.name for p in (dataset / "cache").iterdir()) == sorted([key, "race"])
     os.utime(dataset / "motions/a.npz", (1, 1))
     assert key != clips.cache_key(f"{dataset}/motions", 50.0, ["a.npz"])
 
