@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cliploom.functions import angle_between, axis_angle, euler, multiply, normalize, reorder_xyzw, rot6d, rotate, yaw
-from cliploom.operators import checks, kinematics, learn, physics
+from cliploom.operators import autoencoder, checks, kinematics, learn, physics
 from cliploom.plans.registry import plan
 from cliploom.plans.views import FPS, Views, r9
 
@@ -174,9 +174,12 @@ def mean_embedding(v: Views) -> DataFrame:
 
 @plan()
 def hme_encode(v: Views) -> DataFrame:
-    """Rows only: a convolutional encoder with fixed weights, then amplitudes and frequencies of its channels."""
-    encoder = learn.Encoder.random(channels=2, hidden=(4,), latent=3, size=11, seconds=4.0, seed=7)
-    return learn.encode(kinematics.normalized(windows(v), ["j0", "j1"]), encoder, ["motion_id", "window_id"], "pos", ["j0", "j1"])
+    """Rows only: an encoder trained on the windows, then amplitudes and frequencies of its curves."""
+    by, columns = ["motion_id", "window_id"], ["j0", "j1"]
+    rows = kinematics.normalized(windows(v), columns)
+    start = autoencoder.Autoencoder.random(channels=2, hidden=(4,), latent=3, size=11, seconds=4.0, seed=7)
+    trained = autoencoder.fit(autoencoder.packed(rows, by, "pos", columns), columns, start, epochs=4, rate=0.01)
+    return learn.encode(rows, trained.model.encoder(), by, "pos", columns)
 
 
 LIM = "CASE name WHEN 'j0' THEN 20.0 ELSE 30.0 END"
