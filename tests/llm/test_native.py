@@ -8,6 +8,7 @@ from collections import Counter
 from itertools import combinations
 
 import duckdb
+import pyarrow as pa
 
 from cliploom.llm import line_frequency, queries, sharding, url_rules
 
@@ -105,6 +106,11 @@ def test_shipped_parameters(spark):
         want = blocked(items, bad, 0.002, 0.5, 5, 1.5, 0.05)
         assert {i for i, x in out.items() if x.verdict == "block"} == want and (len(want) > 50) == some
         assert all(x.mined_rule is not None for i, x in out.items() if i in want)
+        con = duckdb.connect()
+        con.register("pages", pa.table({"page_id": list(urls), "url": list(urls.values())}))
+        con.register("labels", pa.table({"doc_id": list(bad), "quality": [int(not b) for b in bad.values()], "toxic": [0] * len(bad)}))
+        told = {r[0]: r[1:] for r in con.execute(queries.oracle_sql()["op7_url_rules"]).fetchall()}
+        assert told == {i: (x.host, x.path, x.rule, x.verdict, x.mined_rule) for i, x in out.items()}
     assert want == set()
 
 
