@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cliploom.operators.physics import gmr_to_qpos
 from cliploom.plans.registry import plan
 from cliploom.plans.rigid import POS, Q
 from cliploom.plans.views import FPS, Views, r9
@@ -86,3 +87,52 @@ def feature_cache(v: Views) -> DataFrame:
     if len(made) != 2 or clips.cache_settings(v.spark, f"{folder}/a") != settings:
         raise ValueError("the cache was built too often")
     return first.unionByName(other)
+
+
+@plan("SELECT motion_id, step, CAST(pos AS INTEGER) AS pos, round(value, 7) + 0.0 AS value FROM (SELECT motion_id, step, unnest(range(9)) AS pos, unnest([px, py, pz, qw, qx, qy, qz, j0, j1]) AS value FROM v_rigid)")
+def segment_archives(v: Views) -> DataFrame:
+    """Clips as archives of root position, rotation (w last) and joints, read file by file on the workers."""
+    root = f"{clips.scratch(v.spark)}/segments"
+
+    def put(pdf):  # noqa: ANN001, ANN202
+        import os
+
+        import numpy as np
+
+        pdf, name = pdf.sort_values("step"), int(pdf["motion_id"].iloc[0])
+        os.makedirs(root, exist_ok=True)
+        np.savez(f"{root}/{name}.npz", root_pos=pdf[list(POS)].to_numpy(), root_rot=pdf[[*Q[1:], Q[0]]].to_numpy(), dof_pos=pdf[["j0", "j1"]].to_numpy())
+        return pdf[["motion_id"]].head(1)
+
+    v.rigid.groupBy("motion_id").applyInPandas(put, "motion_id long").count()
+    rows = clips.read_segments(v.spark, root)
+    turned = [F.col("root_rot")[i] for i in range(4)]
+    out = gmr_to_qpos(rows, [F.col("root_pos")[i] for i in range(3)], turned, [F.col("dof_pos")[i] for i in range(2)])
+    out = out.select(F.regexp_extract("motion", r"^([0-9]+)\.npz$", 1).cast("long").alias("motion_id"), "step", F.posexplode("qpos").alias("pos", "value"))
+    return out.withColumn("value", r9("value", 7))
+
+
+@plan("SELECT motion_id, step, round(CAST(CAST(px AS FLOAT) AS DOUBLE), 4) + 0.0 AS x, round(CAST(CAST(j1 AS FLOAT) AS DOUBLE), 4) + 0.0 AS j1, 'legacy' AS kind, 50 AS fps FROM v_rigid")
+def legacy_clips(v: Views) -> DataFrame:
+    """Clips in the older layout, a folder each with its meta data."""
+    root = f"{clips.scratch(v.spark)}/legacy"
+
+    def put(pdf):  # noqa: ANN001, ANN202
+        import json
+        import os
+
+        import numpy as np
+
+        pdf, folder = pdf.sort_values("step"), f"{root}/{int(pdf['motion_id'].iloc[0])}"
+        os.makedirs(folder, exist_ok=True)
+        n, place, turn = len(pdf), pdf[list(POS)].to_numpy()[:, None], pdf[list(Q)].to_numpy()[:, None]
+        fields = {"body_pos_w": place, "body_lin_vel_w": np.zeros((n, 1, 3)), "body_quat_w": turn, "body_ang_vel_w": np.zeros((n, 1, 3)), "joint_pos": pdf[["j0", "j1"]].to_numpy(), "joint_vel": np.zeros((n, 2))}
+        np.savez(f"{folder}/motion.npz", **fields)
+        with open(f"{folder}/meta.json", "w") as f:
+            json.dump({"fps": FPS, "length": n}, f)
+        return pdf[["motion_id"]].head(1)
+
+    v.rigid.groupBy("motion_id").applyInPandas(put, "motion_id long").count()
+    rows, meta = clips.read_legacy(v.spark, root)
+    single = lambda field, i: r9(F.col(field)[i].cast("double"), 4)
+    return rows.select(F.col("motion").cast("long").alias("motion_id"), "step", single("body_pos_w", 0).alias("x"), single("joint_pos", 1).alias("j1"), F.lit(clips.dataset_kind(root)).alias("kind"), F.lit(meta["fps"]).alias("fps"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cliploom.functions import degrees_to_radians, integer_resampled_length, resampled_length, source_fps, window_length
 from cliploom.operators import checks, kinematics, segments, serve
+from cliploom.operators.datasets import ClipDataset, Router
 from cliploom.plans.registry import plan
 from cliploom.plans.rigid import VEL, moving
 from cliploom.plans.views import FPS, Views, r9
@@ -135,6 +136,14 @@ def get_slice(v: Views) -> DataFrame:
     return serve.get_slice(_requests(v), [0, 1, 2, 3], v.lengths, v.frames).select("env", "motion_id", "offset", "step", "x")
 
 
+@plan(f"SELECT q.env, q.motion_id, CAST(o.o AS INTEGER) AS \"offset\", f.step, f.x FROM ({REQUESTS}) q CROSS JOIN (SELECT unnest([0, 5]) AS o) o JOIN v_lengths l USING (motion_id) JOIN v_frames f ON f.motion_id = q.motion_id AND f.step = greatest(0, least(q.start_t + o.o, l.length - 1))")
+def routed_slices(v: Views) -> DataFrame:
+    """Slices through a router over two datasets, whose ids run on from one to the other."""
+    part = lambda low, high: ClipDataset(v.frames.filter((F.col("motion_id") >= low) & (F.col("motion_id") < high)).withColumn("motion_id", F.col("motion_id") - low))
+    whole = Router([part(0, 60), part(60, 1 << 40)])
+    return whole.get_slice(_requests(v), [0, 5]).select("env", "motion_id", "offset", "step", "x")
+
+
 CENTRES = "SELECT motion_id, length, CAST(unnest(range(0, length - 20, 3)) AS BIGINT) + 10 AS centre FROM v_lengths WHERE length > 20"
 WINDOWS = f"SELECT w.motion_id, w.window_id, CAST(p.pos AS INTEGER) AS pos, f.step, f.x FROM (SELECT motion_id, (centre - 10) // 3 AS window_id, centre FROM ({CENTRES})) w CROSS JOIN (SELECT unnest(range(0, 11)) AS pos) p JOIN v_frames f ON f.motion_id = w.motion_id AND f.step = w.centre + (p.pos - 5) * 2"
 

@@ -276,3 +276,30 @@ def fk_chain(v: Views) -> DataFrame:
     out = physics.forward_kinematics(qpos, physics.parse_model(CHAIN), keep=["motion_id", "step", "px", "py", "pz"])
     reach = F.sqrt(sum(((F.col("body_pos_w")[3][i] - F.col(c)) ** 2 for i, c in ((1, "py"), (2, "pz"))), (F.col("body_pos_w")[3][0] - F.col("px")) ** 2))
     return out.select("motion_id", "step", r9(F.abs(F.col("body_quat_w")[3][0]), 6).alias("w"), r9(reach, 6).alias("reach"))
+
+
+LOWER = f"SELECT motion_id, step, pz + m20 * (0.5 + ex) + m21 * ey AS z FROM ({LINKS})"
+
+
+@plan(f"SELECT motion_id, step, 'floor' AS geom0, 'tip' AS geom1, round(z - 0.1, 6) + 0.0 AS dist FROM ({LOWER}) WHERE z - 0.1 <= 0.2")
+def floor_contacts(v: Views) -> DataFrame:
+    """The chain's tip against a floor that the model is given, up to a margin."""
+    model = physics.parse_model(CHAIN).with_floor()
+    found = physics.contacts(v.rigid.select("motion_id", "step", F.array(*POS, *Q, "j0", "j1").alias("qpos")), model, margin=0.2)
+    names = F.array(*[F.lit(g.name) for g in model.geoms])
+    return found.select("motion_id", "step", names[F.col("geom0")].alias("geom0"), names[F.col("geom1")].alias("geom1"), r9("dist", 6).alias("dist"))
+
+
+@plan("SELECT motion_id, step, 4 AS bodies, 2 AS joints, CAST(0 AS DOUBLE) AS height, CAST(1 AS DOUBLE) AS w FROM v_rigid")
+def constant_fk(v: Views) -> DataFrame:
+    """The debugging mode: the chain's columns without its kinematics."""
+    out = physics.constant_kinematics(v.rigid.select("motion_id", "step"), physics.parse_model(CHAIN))
+    return out.select("motion_id", "step", F.size("body_pos_w").alias("bodies"), F.size("joint_pos").alias("joints"), F.col("body_pos_w")[3][2].alias("height"), F.col("body_quat_w")[3][0].alias("w"))
+
+
+@plan("SELECT * FROM (VALUES ('body', 0, 'world', -1), ('body', 1, 'base', 0), ('body', 2, 'upper', 1), ('body', 3, 'lower', 2), ('joint', 0, 'root', 0), ('joint', 1, 'a', 7), ('joint', 2, 'b', 8), ('geom', 0, 'tip', 3)) m(kind, id, name, refers)")
+def model_tables(v: Views) -> DataFrame:
+    """A model's bodies with their parents, joints with their places in qpos, and geoms with their bodies."""
+    t = physics.parse_model(CHAIN).tables(v.spark)
+    pick = lambda kind, key, refers: t[f"{kind}s" if kind != "body" else "bodies"].select(F.lit(kind).alias("kind"), F.col(key).alias("id"), "name", F.col(refers).alias("refers"))
+    return pick("body", "body", "parent").unionByName(pick("joint", "joint", "qpos")).unionByName(pick("geom", "geom", "body"))

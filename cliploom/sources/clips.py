@@ -248,6 +248,23 @@ def load_segments_npz(path: str) -> dict[str, np.ndarray]:
     return out
 
 
+def read_segments(spark: SparkSession, root: str) -> DataFrame:
+    """Frames (motion, step, root_pos, root_rot, dof_pos) of every such archive under a folder, read on the workers."""
+    files = motion_names(root)
+    if not files:
+        raise FileNotFoundError(f"no .npz clips under {root}")
+    names = spark.createDataFrame([(f,) for f in files], "motion string").repartition(-(-len(files) // PER_PARTITION))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for motion in b.column("motion").to_pylist():
+                held = load_segments_npz(f"{root}/{motion}")
+                n = len(held["root_pos"])
+                yield pa.RecordBatch.from_arrays([pa.array([motion] * n), pa.array(np.arange(n)), *(pa.array(x.tolist(), pa.list_(pa.float64())) for x in held.values())], names=["motion", "step", *held])
+
+    return names.mapInArrow(run, "motion string, step long, root_pos array<double>, root_rot array<double>, dof_pos array<double>")
+
+
 RAW_TYPES = {"torch.float16": np.float16, "torch.float32": np.float32, "torch.int32": np.int32, "torch.int64": np.int64}
 
 
