@@ -2,6 +2,7 @@ import random
 
 import brute
 import duckdb
+import test_passages
 
 from cliploom.llm import suffix_dedup
 
@@ -48,3 +49,19 @@ def test_empty_and_repeated_rows(spark):
 def test_all_occurrences_of_maximal_repeats():
     found = {texts: n for n, texts in ((n, tuple(sorted(w))) for n, w in suffix_dedup.maximal_repeats([b"1abcdef2", b"3abcdef4", b"5abcd6"], 4))}
     assert found == {((0, 1), (1, 1)): 6, ((0, 1), (1, 1), (2, 1)): 4}
+
+
+def test_repeats_of_words():
+    """Maximal repeats in whole words: the same bytes at the edge of another word don't count."""
+    code = lambda *words: b"".join((w * 256 + 7).to_bytes(8, "little") for w in words)  # noqa: E731  all end alike
+    found = {tuple(sorted(w)): n for n, w in suffix_dedup.maximal_repeats([code(1, 2, 3, 4, 5), code(9, 2, 3, 4, 6), code(2, 3, 8)], 2, words=True)}
+    assert found == {((0, 1), (1, 1)): 3, ((0, 1), (1, 1), (2, 0)): 2}
+
+
+def test_words_of_any_width(spark):
+    r = random.Random(4)
+    texts = [" ".join(r.choice("abcd") * r.randint(1, 2) for _ in range(r.randint(0, 60))) for _ in range(60)] + [None, "", "a  b\tc\na b c"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    for least in (3, 5, 9):
+        out = {x.doc_id: x.text for x in suffix_dedup.clean(df, width=10**6, words=least).collect()}
+        assert out == {i: t for i, t in enumerate(test_passages.brute(texts, 10**6, least)) if t is not None} | {60: None, 61: ""}
