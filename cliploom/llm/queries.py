@@ -127,7 +127,7 @@ FROM (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS failed FR
 _SHARDS = """
 WITH RECURSIVE bits AS (SELECT list(c ORDER BY i) AS crcs FROM (SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM (SELECT unnest(range(256)) AS i))),
 d AS (SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-b AS (SELECT row, doc_id, len(h) // 2 AS n, list_transform(range(1, len(h), 2), lambda i: CAST('0x' || h[i:i + 1] AS BIGINT)) AS bytes FROM d),
+b AS (SELECT row, doc_id, len(h) // 2 AS n, list_transform(regexp_extract_all(h, '..'), lambda x: CAST('0x' || x AS BIGINT)) AS bytes FROM d),
 sums AS (SELECT row, doc_id, n + 8 AS size, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, x: xor(c >> 8, crcs[(xor(c, x) & 255) + 1])), 4294967295) AS crc FROM b, bits),
 jumps(key, k, j) AS (SELECT doc_id, CAST(coalesce(doc_id, 0) AS HUGEINT) + CASE WHEN doc_id < 0 THEN 18446744073709551616 ELSE 0 END, CAST(0 AS BIGINT) FROM (SELECT DISTINCT doc_id FROM documents)
   UNION ALL SELECT key, n, CAST(floor((j + 1) * (2147483648.0::DOUBLE / CAST((n // 8589934592) + 1 AS DOUBLE))) AS BIGINT) FROM (SELECT key, j, (k * 2862933555777941757 + 1) % 18446744073709551616 AS n FROM jumps WHERE j < 25)),
