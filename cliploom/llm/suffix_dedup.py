@@ -347,7 +347,7 @@ def remove(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str =
     ws = Workspace(docs.sparkSession, "suffix")
     rows = plain(docs, id_col, text_col).select(*(c.alias(k) for k, c in _keys(id_col, text_col).items()), F.col(text_col).alias("text"))
     found = spans(ws, rows, width)
-    out = rows.join(found, ["id", "th"], "left").mapInArrow(_cut, "id long, th long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
+    out = rows.hint("merge").join(found, ["id", "th"], "left").mapInArrow(_cut, "id long, th long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
     return out.withColumn("doc_id", F.when(F.col("id") != -(2**63), F.col("id"))).select("doc_id", "th", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
 
 
