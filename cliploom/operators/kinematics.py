@@ -108,8 +108,21 @@ def window_index(lengths: DataFrame, size: int, downsample: int, stride: int = 1
 
 
 def windows(frames: DataFrame, size: int, downsample: int, stride: int = 1, fallback: bool = False, key: str = KEY) -> DataFrame:
-    """The frames of each window: one equi-join on (key, step)."""
-    return window_index(clip_lengths(frames, key), size, downsample, stride, fallback, key).join(frames, [key, STEP])
+    """The frames of each window of window_index: each frame finds its own places by arithmetic from its clip's length.
+
+    There is no join: windows exploded from the lengths look as small to the planner as these, and would be broadcast.
+    """
+    half, stride = (size - 1) // 2, max(1, stride)
+    more = [F.col(f"`{c}`") for c in frames.columns if c not in (key, STEP)]
+    counted = frames.select(key, F.col(STEP).cast("long").alias(STEP), F.count("*").over(W.partitionBy(key)).alias("_length"), *more).filter(F.col(key).isNotNull())
+    placed = counted.withColumn("pos", F.explode(F.sequence(F.lit(0), F.lit(2 * half))))
+    first, last = F.col(STEP) - F.col("pos") * downsample, F.col("_length") - 2 * half * downsample - 1
+    inside = (first >= 0) & (first <= last) & (first % stride == 0)
+    if fallback:
+        alone = F.greatest(F.lit(0), F.least(F.floor(F.col("_length") / 2) + (F.col("pos") - half) * downsample, F.col("_length") - 1))
+        inside = F.when(last >= 0, inside).otherwise(F.col(STEP) == alone)
+    window = F.when(last >= 0, F.expr(f"({STEP} - pos * {downsample}) div {stride}")).otherwise(0).cast("int")
+    return placed.filter(inside).select(key, STEP, window.alias("window_id"), "pos", *more)
 
 
 def heading_frame(rows: DataFrame, position: Sequence[str], q: Sequence[str], by: Sequence[str], order: str) -> DataFrame:

@@ -71,9 +71,9 @@ class Views:
 
     @cached_property
     def frames(self) -> DataFrame:
-        step = F.row_number().over(W.partitionBy("user_id").orderBy("ts", "event_id")) - 1
+        step = F.row_number().over(W.partitionBy("motion_id").orderBy("ts", "event_id")) - 1  # by the new name, so that later windows need no other shuffle
         k = F.get_json_object("props", "$.k").cast("long")
-        return self.table("events").select(F.col("user_id").alias("motion_id"), step.cast("long").alias("step"), F.col("value").alias("x"), k.alias("k"))
+        return self.table("events").withColumnRenamed("user_id", "motion_id").select("motion_id", step.cast("long").alias("step"), F.col("value").alias("x"), k.alias("k"))
 
     @cached_property
     def lengths(self) -> DataFrame:
