@@ -5,19 +5,25 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 
-def settled(rows: DataFrame) -> DataFrame:
-    """rows computed once and kept in the cluster's checkpoint folder; a lost executor costs no recomputation.
-
-    Only a local session without that folder gets one of this machine.
-    """
-    context = rows.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; only a local session without one gets a folder of this machine."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None and (context.master == "local" or context.master.startswith("local[")):
         context.setCheckpointDir(tempfile.mkdtemp(prefix="cliploom-"))
+    folder = context.getCheckpointDir()
+    if folder is None:
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return folder
+
+
+def settled(rows: DataFrame) -> DataFrame:
+    """rows computed once and kept in the cluster's checkpoint folder; a lost executor costs no recomputation."""
+    shared_folder(rows.sparkSession)
     return rows.checkpoint()
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cliploom.plans.registry import plan
 from cliploom.plans.views import Views
-from cliploom.streaming import instants, micros, sessions, to_memory
+from cliploom.streaming import instants, micros, sessions, settled
 
 
 def _events(v: Views) -> DataFrame:
@@ -26,7 +26,7 @@ SESSIONS = """SELECT user_id, count(*) AS n, CAST(sum(round(value * 100)) AS BIG
 def stream_sessions(v: Views) -> DataFrame:
     """Sessions of events under an hour apart; at the end of the stream all are complete."""
     cents = _events(v).withColumn("cents", F.round(F.col("value") * 100).cast("long"))
-    out = to_memory(v.spark, sessions(cents, "ts", "user_id", "1 hour", "400 days", "cents"), "complete")
+    out = settled(v.spark, sessions(cents, "ts", "user_id", "1 hour", "400 days", "cents"), "complete")
     return out.select("user_id", "n", "total", micros(F.col("start")).alias("started"))
 
 
@@ -34,4 +34,4 @@ def stream_sessions(v: Views) -> DataFrame:
 def stream_late_drop(v: Views) -> DataFrame:
     """Sessions that the watermark closed: those that ended a day before the last event; later ones stay open."""
     cents = _events(v).withColumn("cents", F.round(F.col("value") * 100).cast("long"))
-    return to_memory(v.spark, sessions(cents, "ts", "user_id", "1 hour", "1 day", "cents")).select("user_id", "n", "total")
+    return settled(v.spark, sessions(cents, "ts", "user_id", "1 hour", "1 day", "cents")).select("user_id", "n", "total")

@@ -1,5 +1,5 @@
 """Structured Streaming over frames that arrive in time order, an extension to the batch operators."""
 
-from cliploom.streaming.clips import instants, micros, running_velocity, sessions, to_memory
+from cliploom.streaming.clips import instants, micros, running_velocity, sessions, settled
 
-__all__ = ["instants", "micros", "running_velocity", "sessions", "to_memory"]
+__all__ = ["instants", "micros", "running_velocity", "sessions", "settled"]
