@@ -6,7 +6,7 @@ from cliploom import plans
 from cliploom.streaming import sessions, settled
 
 
-@pytest.mark.parametrize("name", ["stream_sessions"])
+@pytest.mark.parametrize("name", ["stream_sessions", "stream_late_drop"])
 def test_rows_are_read_from_files(spark, name):
     df = plans.queries()[name](spark, "/root/testdata/sf0.001")
     assert df.inputFiles() and df.count()
