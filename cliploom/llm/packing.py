@@ -10,6 +10,7 @@ or a round brings nothing.
 from __future__ import annotations
 
 import json
+import os
 import unicodedata
 import zlib
 from array import array
@@ -52,6 +53,7 @@ class WordIds:
     """
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library's threads would each keep memory
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -87,10 +89,22 @@ class WordIds:
 
     def __call__(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) and the rows' offsets."""
-        if not self.by_word or any(pc.any(pc.match_substring(text, t, ignore_case=True)).as_py() for t in self.special):
-            each = self.tokenizer.encode_batch_fast([t or "" for t in text.to_pylist()], add_special_tokens=False)
-            ids = [np.array(e.ids, np.uint32) for e in each]
-            return np.concatenate([np.empty(0, np.uint32), *ids]), np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)])
+        whole = np.full(len(text), not self.by_word)
+        for t in self.special:
+            whole |= pc.fill_null(pc.match_substring(text, t, ignore_case=True), False).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return self._by_words(text)
+        ids, at = [], 0
+        for end in [*(np.flatnonzero(whole[1:] != whole[:-1]) + 1).tolist(), len(text)]:  # runs of one kind
+            if whole[at]:  # a text at a time: the library's rows take some hundred bytes a token
+                ids += [np.array(self.tokenizer.encode(t or "", add_special_tokens=False).ids, np.uint32) for t in text.slice(at, end - at).to_pylist()]
+            else:
+                found, ends = self._by_words(text.slice(at, end - at))
+                ids += np.split(found, ends[1:-1])
+            at = end
+        return np.concatenate([np.empty(0, np.uint32), *ids]), np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)])
+
+    def _by_words(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         lower = pc.replace_substring_regex(pc.ascii_lower(pc.fill_null(text, "")), r"([a-z0-9])([.,])", r"\1 \2")
         words = pc.ascii_split_whitespace(lower)
         flat, offsets = words.flatten(), words.offsets.to_numpy().astype(np.int64)

@@ -98,3 +98,15 @@ def test_other_tokenizers_and_special_tokens():
         for some in (texts, texts[:3], texts[4:]):
             ids, offsets = own(pa.array(some, pa.string()))
             assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == [library.encode(t or "", add_special_tokens=False).ids for t in some]
+
+
+def test_only_texts_that_name_special_tokens_go_to_the_library(monkeypatch):
+    words = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["one two", None, "a <|endoftext|> b", "", "<|STARTOFTEXT|>", "three, four.", "five"]
+    want = [words.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    by_word = []
+    held = words._by_words
+    monkeypatch.setattr(words, "_by_words", lambda text: by_word.extend(text.to_pylist()) or held(text))
+    ids, ends = words(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == want
+    assert by_word == [t for t in texts if "<|" not in (t or "")]
