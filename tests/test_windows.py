@@ -18,7 +18,7 @@ def test_windows_are_those_of_the_index(spark, size, downsample, stride, fallbac
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
-@pytest.mark.parametrize("name", ["hme_windows", "fft_params", "heading_frame", "mean_embedding", "hme_window_norm"])
+@pytest.mark.parametrize("name", ["hme_windows", "fft_params", "heading_frame", "mean_embedding", "hme_window_norm", "hme_encode"])
 def test_windows_are_never_broadcast(spark, name):
     df = plans.queries()[name](spark, "/root/testdata/sf0.001")
     df.collect()  # adaptive execution chooses joins as it goes
