@@ -111,11 +111,14 @@ def windows(frames: DataFrame, size: int, downsample: int, stride: int = 1, fall
     """The frames of each window of window_index: each frame finds its own places by arithmetic from its clip's length.
 
     There is no join: windows exploded from the lengths look as small to the planner as these, and would be broadcast.
+    A shuffle of the frames parts the clips' buffers from what groups or sorts the windows: in one task this would take
+    the memory that a long clip's buffer then can't get. The key stands there twice, as the planner leaves out a shuffle
+    that deals the rows as they lie.
     """
     half, stride = (size - 1) // 2, max(1, stride)
     more = [F.col(f"`{c}`") for c in frames.columns if c not in (key, STEP)]
     counted = frames.select(key, F.col(STEP).cast("long").alias(STEP), F.count("*").over(W.partitionBy(key)).alias("_length"), *more).filter(F.col(key).isNotNull())
-    placed = counted.withColumn("pos", F.explode(F.sequence(F.lit(0), F.lit(2 * half))))
+    placed = counted.repartition(key, key).withColumn("pos", F.explode(F.sequence(F.lit(0), F.lit(2 * half))))
     first, last = F.col(STEP) - F.col("pos") * downsample, F.col("_length") - 2 * half * downsample - 1
     inside = (first >= 0) & (first <= last) & (first % stride == 0)
     if fallback:

@@ -25,3 +25,10 @@ def test_windows_are_never_broadcast(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "Generate" in plan
     assert not [x for x in plan.splitlines() if "HashJoin" in x or "MergeJoin" in x]
+
+
+@pytest.mark.parametrize("name", ["fft_params"])
+def test_clips_are_held_in_tasks_of_their_own(spark, name):
+    plan = plans.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("Generate ") :]  # the frames, before they find their windows
+    assert 0 <= below.index("Exchange ") < below.index("Window ")
