@@ -170,17 +170,20 @@ def normalized(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 def spectrum(rows: DataFrame, columns: Sequence[str], size: int, seconds: float, by: Sequence[str], pos: str = "pos") -> DataFrame:
     """amp_<c>, freq_<c>, offset_<c> of each group of `size` samples, by the discrete Fourier sums.
 
-    Each sample meets the size // 2 frequencies once; the sums are plain aggregates with partial combining.
+    One aggregate makes all sums of a window, a pair a frequency; samples aren't repeated for the frequencies.
     """
-    bins = rows.withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(size // 2))))
-    turn = F.col("_k") * F.col(pos) * (2 * math.pi / size)
-    sums = bins.groupBy(*by, "_k").agg(*[x for c in columns for x in (F.sum(F.col(c) * F.cos(turn)).alias(f"_r_{c}"), F.sum(F.col(c) * F.sin(turn)).alias(f"_i_{c}"), F.sum(c).alias(f"_s_{c}"))])
-    power = sums.withColumns({f"_p_{c}": F.col(f"_r_{c}") ** 2 + F.col(f"_i_{c}") ** 2 for c in columns})
+    freqs = range(1, size // 2 + 1)
+    turn = lambda k: k * F.col(pos) * (2 * math.pi / size)
+    parts = [x for i, c in enumerate(columns) for k in freqs for x in (F.sum(F.col(c) * F.cos(turn(k))).alias(f"_r{i}_{k}"), F.sum(F.col(c) * F.sin(turn(k))).alias(f"_i{i}_{k}"))]
+    power = rows.groupBy(*by).agg(*parts, *[F.sum(c).alias(f"_s{i}") for i, c in enumerate(columns)])
+    power = power.withColumns({f"_p{i}_{k}": F.col(f"_r{i}_{k}") ** 2 + F.col(f"_i{i}_{k}") ** 2 for i in range(len(columns)) for k in freqs})
+    add = lambda values: sum(values, F.lit(0.0))
     out = []
-    for c in columns:
-        total = F.sum(f"_p_{c}") + 1e-8
-        out += [(2 * F.sqrt(total) / size).alias(f"amp_{c}"), (F.sum(F.col("_k") / F.lit(seconds) * F.col(f"_p_{c}")) / total).alias(f"freq_{c}"), (F.max(f"_s_{c}") / size).alias(f"offset_{c}")]
-    return power.groupBy(*by).agg(*out)
+    for i, c in enumerate(columns):
+        total = add(F.col(f"_p{i}_{k}") for k in freqs) + 1e-8
+        rate = add(k / F.lit(seconds) * F.col(f"_p{i}_{k}") for k in freqs) / total
+        out += [(2 * F.sqrt(total) / size).alias(f"amp_{c}"), rate.alias(f"freq_{c}"), (F.col(f"_s{i}") / size).alias(f"offset_{c}")]
+    return power.select(*by, *out)
 
 
 def complexity(frames: DataFrame, velocities: Sequence[str], fps: float, key: str = KEY, step: str = STEP) -> DataFrame:

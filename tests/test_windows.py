@@ -27,8 +27,15 @@ def test_windows_are_never_broadcast(spark, name):
     assert not [x for x in plan.splitlines() if "HashJoin" in x or "MergeJoin" in x]
 
 
-@pytest.mark.parametrize("name", ["fft_params", "heading_frame"])
+@pytest.mark.parametrize("name", ["fft_params", "heading_frame", "mean_embedding"])
 def test_clips_are_held_in_tasks_of_their_own(spark, name):
     plan = plans.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     below = plan[plan.rindex("Generate ") :]  # the frames, before they find their windows
     assert 0 <= below.index("Exchange ") < below.index("Window ")
+
+
+def test_a_spectrum_repeats_no_samples(spark):
+    rows = spark.createDataFrame([(m, p, float(m * p)) for m in range(3) for p in range(11)], "m long, pos int, x double")
+    plan = kinematics.spectrum(rows, ["x"], 11, 4.0, ["m"])._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+    assert plan.count("Aggregate") == 2  # a partial and a final one
