@@ -27,7 +27,7 @@ def test_windows_are_never_broadcast(spark, name):
     assert not [x for x in plan.splitlines() if "HashJoin" in x or "MergeJoin" in x]
 
 
-@pytest.mark.parametrize("name", ["fft_params", "heading_frame", "mean_embedding", "hme_window_norm"])
+@pytest.mark.parametrize("name", ["fft_params", "heading_frame", "mean_embedding", "hme_window_norm", "hme_encode"])
 def test_clips_are_held_in_tasks_of_their_own(spark, name):
     plan = plans.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     below = plan[plan.rindex("Generate ") :]  # the frames, before they find their windows
