@@ -116,28 +116,63 @@ def windows(frames: DataFrame, size: int, downsample: int, stride: int = 1, fall
     that deals the rows as they lie.
     """
     half, stride = (size - 1) // 2, max(1, stride)
-    more = [F.col(f"`{c}`") for c in frames.columns if c not in (key, STEP)]
-    counted = frames.select(key, F.col(STEP).cast("long").alias(STEP), F.count("*").over(W.partitionBy(key)).alias("_length"), *more).filter(F.col(key).isNotNull())
-    placed = counted.repartition(key, key).withColumn("pos", F.explode(F.sequence(F.lit(0), F.lit(2 * half))))
+    placed = _dealt(frames, key).withColumn("pos", F.explode(F.sequence(F.lit(0), F.lit(2 * half))))
     first, last = F.col(STEP) - F.col("pos") * downsample, F.col("_length") - 2 * half * downsample - 1
     inside = (first >= 0) & (first <= last) & (first % stride == 0)
     if fallback:
         alone = F.greatest(F.lit(0), F.least(F.floor(F.col("_length") / 2) + (F.col("pos") - half) * downsample, F.col("_length") - 1))
         inside = F.when(last >= 0, inside).otherwise(F.col(STEP) == alone)
     window = F.when(last >= 0, F.expr(f"({STEP} - pos * {downsample}) div {stride}")).otherwise(0).cast("int")
-    return placed.filter(inside).select(key, STEP, window.alias("window_id"), "pos", *more)
+    return placed.filter(inside).select(key, STEP, window.alias("window_id"), "pos", *_more(frames, key))
+
+
+def _more(frames: DataFrame, key: str) -> list[Column]:
+    return [F.col(f"`{c}`") for c in frames.columns if c not in (key, STEP)]
+
+
+def _dealt(frames: DataFrame, key: str) -> DataFrame:
+    """frames with their clip's _length, shuffled anew."""
+    counted = frames.select(key, F.col(STEP).cast("long").alias(STEP), F.count("*").over(W.partitionBy(key)).alias("_length"), *_more(frames, key))
+    return counted.filter(F.col(key).isNotNull()).repartition(key, key)
+
+
+def windows_with_first(frames: DataFrame, columns: Sequence[str], size: int, downsample: int, stride: int = 1, key: str = KEY, block: int = 256) -> DataFrame:
+    """The rows of windows() without fallback, and first_<c>: the columns of each window's first frame that there is.
+
+    Windows are neither sorted nor grouped, as there are several rows of them for each frame: a frame has the samples
+    before it at hand, and so the first one of every window that it lies in. Clips are cut into blocks of `block` windows
+    each, with the frames that these need, so a task holds a block of a clip at a time, however long this is.
+    """
+    half, stride = (size - 1) // 2, max(1, stride)
+    span = 2 * half * downsample
+    of = lambda step: f"({step}) div {stride} div {block}"
+    low = F.expr(of(f"greatest({STEP} - {span} + {stride - 1}, 0)"))
+    blocks = _dealt(frames, key).filter(F.col(STEP) >= 0).withColumn("_block", F.explode(F.sequence(low, F.expr(of(STEP)))))
+    before = W.partitionBy(key, "_block", F.col(STEP) % downsample).orderBy(STEP).rangeBetween(-span, 0)
+    held = blocks.withColumn("_held", F.collect_list(F.struct(STEP, *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])).over(before))
+    placed = held.withColumn("pos", F.explode(F.sequence(F.lit(0), F.lit(2 * half))))
+    first = F.col(STEP) - F.col("pos") * downsample
+    inside = (first >= 0) & (first <= F.col("_length") - span - 1) & (first % stride == 0) & (F.expr(of(f"{STEP} - pos * {downsample}")) == F.col("_block"))
+    found = F.filter("_held", lambda x: x[STEP] >= first)[0]
+    rows = placed.filter(inside).select(key, STEP, F.expr(f"({STEP} - pos * {downsample}) div {stride}").cast("int").alias("window_id"), "pos", *_more(frames, key), found.alias("_first"))
+    return rows.select(key, STEP, "window_id", "pos", *_more(frames, key), *[F.col(f"_first.c{i}").alias(f"first_{c}") for i, c in enumerate(columns)])
 
 
 def heading_frame(rows: DataFrame, position: Sequence[str], q: Sequence[str], by: Sequence[str], order: str) -> DataFrame:
     """Adds root_0..root_8: position and first two rotation columns, seen from each window's first frame's heading."""
     w = W.partitionBy(*by).orderBy(order)
     first = {f"_f_{c}": F.first(c).over(w) for c in [*position, *q]}
-    held = rows.withColumns(first).withColumn("_yaw", R.yaw(tuple(F.col(f"_f_{c}") for c in q)))
-    dx, dy, dz = (F.col(c) - F.col(f"_f_{c}") for c in position)
+    return seen_from(rows.withColumns(first), position, q, "_f_").drop(*first)
+
+
+def seen_from(rows: DataFrame, position: Sequence[str], q: Sequence[str], prefix: str) -> DataFrame:
+    """Adds root_0..root_8 as heading_frame does, with the first frame's columns under a prefix."""
+    held = rows.withColumn("_yaw", R.yaw(tuple(F.col(prefix + c) for c in q)))
+    dx, dy, dz = (F.col(c) - F.col(prefix + c) for c in position)
     c, s = F.cos("_yaw"), F.sin("_yaw")
     turned = R.multiply(R.yaw_quat(-F.col("_yaw")), tuple(F.col(x) for x in q))
     out = (c * dx + s * dy, c * dy - s * dx, dz, *R.rot6d(turned))
-    return held.withColumns({f"root_{i}": x for i, x in enumerate(out)}).drop(*first, "_yaw")
+    return held.withColumns({f"root_{i}": x for i, x in enumerate(out)}).drop("_yaw")
 
 
 def local_root_velocity(frames: DataFrame, velocity: Sequence[str], q: Sequence[str], names: Sequence[str]) -> DataFrame:

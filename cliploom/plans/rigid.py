@@ -144,7 +144,8 @@ def windows(v: Views) -> DataFrame:
     FROM (SELECT *, {M}, px - first(px) OVER w AS dx, py - first(py) OVER w AS dy, pz - first(pz) OVER w AS dz, atan2(2 * (first(qw) OVER w * first(qz) OVER w + first(qx) OVER w * first(qy) OVER w), 1 - 2 * (first(qy) OVER w * first(qy) OVER w + first(qz) OVER w * first(qz) OVER w)) AS yaw FROM ({WIN}) WINDOW w AS (PARTITION BY motion_id, window_id ORDER BY pos))"""
 )
 def heading_frame(v: Views) -> DataFrame:
-    out = kinematics.heading_frame(windows(v), POS, Q, ["motion_id", "window_id"], "pos")
+    rows = kinematics.windows_with_first(v.frames, ["x", "k"], 11, 2, 4)
+    out = kinematics.seen_from(v.posed(v.posed(rows), "first_"), POS, Q, "first_")
     return out.select("motion_id", "window_id", "pos", *[r9(f"root_{i}", 6).alias(f"root_{i}") for i in range(9)])
 
 

@@ -73,7 +73,8 @@ class Views:
     def frames(self) -> DataFrame:
         step = F.row_number().over(W.partitionBy("motion_id").orderBy("ts", "event_id")) - 1  # by the new name, so that later windows need no other shuffle
         k = F.get_json_object("props", "$.k").cast("long")
-        return self.table("events").withColumnRenamed("user_id", "motion_id").select("motion_id", step.cast("long").alias("step"), F.col("value").alias("x"), k.alias("k"))
+        rows = self.table("events").select(F.col("user_id").alias("motion_id"), "ts", "event_id", F.col("value").alias("x"), k.alias("k"))  # the text itself is never moved, sorted or held
+        return rows.select("motion_id", step.cast("long").alias("step"), "x", "k")
 
     @cached_property
     def lengths(self) -> DataFrame:
@@ -87,13 +88,16 @@ class Views:
 
     @cached_property
     def rigid(self) -> DataFrame:
+        return self.posed(self.frames)
+
+    def posed(self, frames: DataFrame, prefix: str = "") -> DataFrame:
+        """frames with position, rotation and joints in place of x and k (all under the prefix); other columns stay."""
         from cliploom.functions import axis_angle, multiply
 
-        q = multiply(axis_angle("z", F.col("x") / 50), axis_angle("y", F.col("k") / 100))
-        return self.frames.select(
-            "motion_id", "step", (F.col("x") / 10).alias("px"), (F.col("k") / 10).alias("py"), F.lit(0.8).alias("pz"),
-            *[c.alias(f"q{n}") for c, n in zip(q, "wxyz", strict=True)], (F.col("x") / 30).alias("j0"), (F.col("k") / 40).alias("j1"),
-        )
+        x, k = F.col(f"{prefix}x"), F.col(f"{prefix}k")
+        q = multiply(axis_angle("z", x / 50), axis_angle("y", k / 100))
+        made = {"px": x / 10, "py": k / 10, "pz": F.lit(0.8)} | {f"q{n}": c for c, n in zip(q, "wxyz", strict=True)} | {"j0": x / 30, "j1": k / 40}
+        return frames.select(*[c for c in frames.columns if c not in (f"{prefix}x", f"{prefix}k")], *[c.alias(prefix + n) for n, c in made.items()])
 
     @cached_property
     def steps(self) -> DataFrame:

@@ -1,6 +1,8 @@
 """Windows of frames: the join with the index as the rule to match, and plans that the driver's memory doesn't bound."""
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from cliploom import plans
 from cliploom.operators import kinematics
@@ -39,3 +41,22 @@ def test_a_spectrum_repeats_no_samples(spark):
     plan = kinematics.spectrum(rows, ["x"], 11, 4.0, ["m"])._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan
     assert plan.count("Aggregate") == 2  # a partial and a final one
+
+
+@pytest.mark.parametrize(("size", "downsample", "stride", "block"), [(11, 2, 3, 256), (11, 2, 4, 1), (5, 1, 1, 2), (7, 3, 0, 3), (1, 1, 2, 2), (4, 2, 5, 1)])
+def test_first_frames_are_those_of_the_windows(spark, size, downsample, stride, block):
+    rows = [(m, s, float(m * 1000 + s)) for m, n in {1: 1, 2: 20, 3: 21, 4: 22, 5: 67, 6: 2}.items() for s in range(n)]
+    rows += [(7, s, float(s)) for s in (0, 1, 5, 6, 7, 8, 9, 10, 11, 12, 30, 31)] + [(None, s, 0.0) for s in range(30)] + [(8, None, 0.0)] + [(8, s, None) for s in range(-3, 25)]
+    df = spark.createDataFrame(rows, "motion_id long, step long, x double")
+    first = F.first("x").over(W.partitionBy("motion_id", "window_id").orderBy("pos"))
+    want = kinematics.windows(df, size, downsample, stride).withColumn("first_x", first)
+    got = kinematics.windows_with_first(df, ["x"], size, downsample, stride, block=block)
+    assert got.dtypes == want.dtypes
+    order = lambda r: tuple((x is not None, x or 0) for x in r)
+    assert sorted(map(tuple, got.collect()), key=order) == sorted(map(tuple, want.collect()), key=order)
+
+
+def test_windows_of_a_heading_are_never_sorted(spark):
+    plan = plans.queries()["heading_frame"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("Generate ")]  # rows that are windows' samples, several of each frame
+    assert not [x for x in ("Sort ", "Window ", "Aggregate", "Exchange ") if x in above]
