@@ -135,7 +135,8 @@ WIN = "SELECT w.motion_id, CAST(w.c // 4 AS INTEGER) AS window_id, CAST(p.pos AS
 
 
 def windows(v: Views) -> DataFrame:
-    return kinematics.windows(v.rigid, 11, 2, 4)
+    """Windows of v.rigid; what follows from x and k is made last, so that only these two are moved, sorted and held."""
+    return v.posed(kinematics.windows(v.frames, 11, 2, 4))
 
 
 @plan(

@@ -60,3 +60,12 @@ def test_windows_of_a_heading_are_never_sorted(spark):
     plan = plans.queries()["heading_frame"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     above = plan[: plan.index("Generate ")]  # rows that are windows' samples, several of each frame
     assert not [x for x in ("Sort ", "Window ", "Aggregate", "Exchange ") if x in above]
+
+
+@pytest.mark.parametrize("name", ["heading_frame", "mean_embedding", "hme_window_norm", "hme_encode"])
+def test_only_what_events_have_is_moved(spark, name):
+    plan = plans.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("Generate ") :]
+    assert " x#" in below
+    assert not [c for c in ("px#", "j0#", "j1#", "qw#") if c in below[below.index("Exchange ") :]]
+    assert "props#" not in below[below.index("Exchange ") : below.rindex("Exchange ")]  # the shuffle that deals clips, and all above it
