@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cliploom.operators.learn import Encoder
+from cliploom.operators.learn import Encoder, samples
 from cliploom.operators.ranges import settled
 
 #: Bounds of the training step.
@@ -203,7 +203,7 @@ def fit(windows: DataFrame, columns: Sequence[str], model: Autoencoder | Trainin
             for b in batches:
                 if not b.num_rows:
                     continue
-                x = np.stack([np.array(b.column(c).to_pylist(), np.float64) for c in columns], axis=1)
+                x = samples(b, columns)
                 rest = np.concatenate([rest, x]) if len(rest) else x
                 while len(rest) >= batch:
                     total, seen, rest = total + own.step(rest[:batch], step) * batch, seen + batch, rest[batch:]

@@ -136,28 +136,48 @@ def _dealt(frames: DataFrame, key: str) -> DataFrame:
     return counted.filter(F.col(key).isNotNull()).repartition(key, key)
 
 
+def _in_blocks(frames: DataFrame, columns: Sequence[str], half: int, downsample: int, stride: int, key: str, block: int) -> DataFrame:
+    """frames by _block of `block` windows of their clip; _held: the (step, c0, c1, ...) that a window with this frame can have up to it.
+
+    A clip's block holds the frames that its windows need, so a task holds one at a time, however long the clip is.
+    """
+    span = 2 * half * downsample
+    low = F.expr(f"greatest({STEP} - {span} + {stride - 1}, 0) div {stride} div {block}")
+    blocks = _dealt(frames, key).filter(F.col(STEP) >= 0).withColumn("_block", F.explode(F.sequence(low, F.expr(f"{STEP} div {stride} div {block}"))))
+    before = W.partitionBy(key, "_block", F.col(STEP) % downsample).orderBy(STEP).rangeBetween(-span, 0)
+    return blocks.withColumn("_held", F.collect_list(F.struct(STEP, *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])).over(before))
+
+
 def windows_with_first(frames: DataFrame, columns: Sequence[str], size: int, downsample: int, stride: int = 1, key: str = KEY, block: int = 256) -> DataFrame:
     """The rows of windows() without fallback, and first_<c>: the columns of each window's first frame that there is.
 
     Windows are neither sorted nor grouped, as there are several rows of them for each frame: a frame has the samples
-    before it at hand, and so the first one of every window that it lies in. Clips are cut into blocks of `block` windows
-    each, with the frames that these need, so a task holds a block of a clip at a time, however long this is.
+    before it at hand, and so the first one of every window that it lies in.
     """
     half, stride = (size - 1) // 2, max(1, stride)
-    span = 2 * half * downsample
-    of = lambda step: f"({step}) div {stride} div {block}"
-    low = F.expr(of(f"greatest({STEP} - {span} + {stride - 1}, 0)"))
-    blocks = _dealt(frames, key).filter(F.col(STEP) >= 0).withColumn("_block", F.explode(F.sequence(low, F.expr(of(STEP)))))
-    before = W.partitionBy(key, "_block", F.col(STEP) % downsample).orderBy(STEP).rangeBetween(-span, 0)
-    held = blocks.withColumn("_held", F.collect_list(F.struct(STEP, *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])).over(before))
-    placed = held.withColumn("pos", F.explode(F.sequence(F.lit(0), F.lit(2 * half))))
+    placed = _in_blocks(frames, columns, half, downsample, stride, key, block).withColumn("pos", F.explode(F.sequence(F.lit(0), F.lit(2 * half))))
     first = F.col(STEP) - F.col("pos") * downsample
-    inside = (first >= 0) & (first <= F.col("_length") - span - 1) & (first % stride == 0) & (F.expr(of(f"{STEP} - pos * {downsample}")) == F.col("_block"))
+    window = F.expr(f"({STEP} - pos * {downsample}) div {stride}")
+    inside = (first >= 0) & (first <= F.col("_length") - 2 * half * downsample - 1) & (first % stride == 0) & (F.expr(f"({STEP} - pos * {downsample}) div {stride} div {block}") == F.col("_block"))
     found = F.filter("_held", lambda x: x[STEP] >= first)[0]
-    rows = placed.filter(inside).select(key, STEP, F.expr(f"({STEP} - pos * {downsample}) div {stride}").cast("int").alias("window_id"), "pos", *_more(frames, key), found.alias("_first"))
+    rows = placed.filter(inside).select(key, STEP, window.cast("int").alias("window_id"), "pos", *_more(frames, key), found.alias("_first"))
     return rows.select(key, STEP, "window_id", "pos", *_more(frames, key), *[F.col(f"_first.c{i}").alias(f"first_{c}") for i, c in enumerate(columns)])
 
 
+def packed_windows(frames: DataFrame, columns: Sequence[str], size: int, downsample: int, stride: int = 1, key: str = KEY, block: int = 256) -> DataFrame:
+    """(key, window_id, columns): a row a whole window, its samples in order, an array a column; steps don't repeat in a clip.
+
+    A window is what its last frame has at hand, so that its samples are never rows to be grouped. One that lacks a
+    frame isn't whole; a clip without gaps has none of these.
+    """
+    half, stride = (size - 1) // 2, max(1, stride)
+    span = 2 * half * downsample
+    first, of = F.col(STEP) - span, F.expr(f"({STEP} - {span}) div {stride}")
+    ends = (first >= 0) & (first <= F.col("_length") - span - 1) & (first % stride == 0) & (F.expr(f"({STEP} - {span}) div {stride} div {block}") == F.col("_block"))
+    whole = _in_blocks(frames, columns, half, downsample, stride, key, block).filter(ends & (F.size("_held") == 2 * half + 1))
+    return whole.select(key, of.cast("int").alias("window_id"), *[F.col(f"_held.c{i}").alias(c) for i, c in enumerate(columns)])
+
+
 def heading_frame(rows: DataFrame, position: Sequence[str], q: Sequence[str], by: Sequence[str], order: str) -> DataFrame:
     """Adds root_0..root_8: position and first two rotation columns, seen from each window's first frame's heading."""
     w = W.partitionBy(*by).orderBy(order)
@@ -197,11 +217,16 @@ def feature_stats(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 def normalized(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns less their mean, over their deviation; the statistics are a single broadcast row."""
     stats = feature_stats(rows, columns)
-    wide = stats.agg(*[F.max(F.when(F.col("channel") == i, F.col(k))).alias(f"_{k}{i}") for i in range(len(columns)) for k in ("mean", "std")])
+    wide = one_row(stats, len(columns))
     held = rows.join(F.broadcast(wide))
     return held.withColumns({c: (F.col(c) - F.col(f"_mean{i}")) / F.col(f"_std{i}") for i, c in enumerate(columns)}).drop(*wide.columns)
 
 
+def one_row(stats: DataFrame, channels: int) -> DataFrame:
+    """feature_stats as _mean0, _std0, _mean1, ..."""
+    return stats.agg(*[F.max(F.when(F.col("channel") == i, F.col(k))).alias(f"_{k}{i}") for i in range(channels) for k in ("mean", "std")])
+
+
 def spectrum(rows: DataFrame, columns: Sequence[str], size: int, seconds: float, by: Sequence[str], pos: str = "pos") -> DataFrame:
     """amp_<c>, freq_<c>, offset_<c> of each group of `size` samples, by the discrete Fourier sums.
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,17 +63,29 @@ class Encoder:
         return 2 * np.sqrt(total) / n, freq, z[..., 0].real / n
 
 
+def samples(batch: pa.RecordBatch, columns: Sequence[str]) -> np.ndarray:
+    """[windows, columns, samples] of array columns of one length."""
+    size = pc.list_value_length(batch.column(columns[0])).to_numpy(zero_copy_only=False)
+    if any(not np.array_equal(pc.list_value_length(batch.column(c)).to_numpy(zero_copy_only=False), np.full(len(size), size[0])) for c in columns):
+        raise ValueError("windows must have one length")
+    return np.stack([batch.column(c).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(size), -1) for c in columns], axis=1)
+
+
 def encode(rows: DataFrame, encoder: Encoder, by: Sequence[str], pos: str, columns: Sequence[str]) -> DataFrame:
     """by, amp, freq, offset (arrays): the windows' samples are packed to a row each and encoded in Arrow batches."""
     packed = rows.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(pos, *columns))).alias("_w"))
-    packed = packed.select(*by, *[F.col(f"_w.{c}").alias(c) for c in columns])
+    return encode_packed(packed.select(*by, *[F.col(f"_w.{c}").alias(c) for c in columns]), encoder, by, columns)
+
+
+def encode_packed(packed: DataFrame, encoder: Encoder, by: Sequence[str], columns: Sequence[str], most: int = 2048) -> DataFrame:
+    """by, amp, freq, offset (arrays) of windows that are a row each, an array a column; `most` at once."""
     kinds = dict(packed.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                x = np.stack([np.array(b.column(c).to_pylist(), np.float64) for c in columns], axis=1)
-                found = [pa.array(list(v), pa.list_(pa.float64())) for v in encoder.parameters(x)]
+        for whole in batches:
+            for at in range(0, whole.num_rows, most):
+                b = whole.slice(at, most)
+                found = [pa.array(list(v), pa.list_(pa.float64())) for v in encoder.parameters(samples(b, columns))]
                 yield pa.RecordBatch.from_arrays([*(b.column(k) for k in by), *found], names=[*by, "amp", "freq", "offset"])
 
     return packed.mapInArrow(run, ", ".join([*(f"{k} {kinds[k]}" for k in by), "amp array<double>", "freq array<double>", "offset array<double>"]))

@@ -178,10 +178,13 @@ def mean_embedding(v: Views) -> DataFrame:
 def hme_encode(v: Views) -> DataFrame:
     """Rows only: an encoder trained on the windows, then amplitudes and frequencies of its curves."""
     by, columns = ["motion_id", "window_id"], ["j0", "j1"]
-    rows = kinematics.normalized(windows(v), columns)
+    made = kinematics.packed_windows(v.rigid.select("motion_id", "step", *columns), columns, 11, 2, 4)
+    stats = kinematics.one_row(kinematics.feature_stats(windows(v), columns), len(columns))
+    scaled = [F.expr(f"transform({c}, x -> (x - _mean{i}) / _std{i})").alias(c) for i, c in enumerate(columns)]
+    rows = made.join(F.broadcast(stats)).select(*by, *scaled)
     start = autoencoder.Autoencoder.random(channels=2, hidden=(4,), latent=3, size=11, seconds=4.0, seed=7)
-    trained = autoencoder.fit(autoencoder.packed(rows, by, "pos", columns), columns, start, epochs=4, rate=0.01)
-    return learn.encode(rows, trained.model.encoder(), by, "pos", columns)
+    trained = autoencoder.fit(rows, columns, start, epochs=4, rate=0.01)
+    return learn.encode_packed(rows, trained.model.encoder(), by, columns)
 
 
 LIM = "CASE name WHEN 'j0' THEN 20.0 ELSE 30.0 END"

@@ -69,3 +69,31 @@ def test_only_what_events_have_is_moved(spark, name):
     assert " x#" in below
     assert not [c for c in ("px#", "j0#", "j1#", "qw#") if c in below[below.index("Exchange ") :]]
     assert "props#" not in below[below.index("Exchange ") : below.rindex("Exchange ")]  # the shuffle that deals clips, and all above it
+
+
+@pytest.mark.parametrize(("size", "downsample", "stride", "block"), [(11, 2, 3, 256), (11, 2, 4, 1), (5, 1, 1, 2), (7, 3, 0, 3), (1, 1, 2, 2)])
+def test_packed_windows_are_the_whole_windows(spark, size, downsample, stride, block):
+    rows = [(m, s, float((m or 0) * 1000 + s)) for m, n in {1: 1, 2: 20, 3: 21, 4: 22, 5: 67, 6: 2, None: 30}.items() for s in range(n)]
+    rows += [(7, s, float(s)) for s in (0, 1, 5, 6, 7, 8, 9, 10, 11, 12, 30, 31)]
+    df = spark.createDataFrame(rows, "motion_id long, step long, x double")
+    grouped = kinematics.windows(df, size, downsample, stride).groupBy("motion_id", "window_id").agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("w"))
+    want = grouped.filter(F.size("w") == size).select("motion_id", "window_id", "w.x")
+    got = kinematics.packed_windows(df, ["x"], size, downsample, stride, block=block)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_encoded_windows_are_never_grouped(spark):
+    plan = plans.queries()["hme_encode"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+
+
+def test_samples_of_unlike_lengths_are_refused():
+    import pyarrow as pa
+
+    from cliploom.operators.learn import samples
+
+    batch = pa.RecordBatch.from_pydict({"a": [[1.0, 2.0], [3.0, None]], "b": [[5.0, 6.0], [7.0, 8.0]], "c": [[1.0], [2.0, 3.0, 4.0]]})
+    got = samples(batch.slice(1), ["a", "b"])
+    assert got.shape == (1, 2, 2) and got[0, 1].tolist() == [7.0, 8.0] and got[0, 0, 0] == 3.0 and got[0, 0, 1] != got[0, 0, 1]
+    with pytest.raises(ValueError):
+        samples(batch, ["a", "c"])
