@@ -25,11 +25,24 @@ _ODD = [np.uint64(int(x) | 1) for x in mix(np.arange(2000, 2064, dtype=np.uint64
 
 
 def normal(line: str) -> bytes:
-    raw = line.encode().lower().strip(b" \t\n\x0b\x0c\r")
+    return normal_bytes(line.encode().lower())
+
+
+def normal_bytes(raw: bytes) -> bytes:
+    """The line, in lower case, trimmed and with white space collapsed."""
+    raw = raw.strip(b" \t\n\x0b\x0c\r")
     plain = b"  " not in raw and len(raw.translate(None, b"\t\n\x0b\x0c\r")) == len(raw)
     return raw if plain else b" ".join(raw.split())
 
 
+def normals(text: bytes) -> list[bytes]:
+    """normal() of each line of a text in UTF-8: most texts need one look, not one a line."""
+    raw = text.lower()
+    if b"  " not in raw and len(raw.translate(None, b"\t\x0b\x0c\r")) == len(raw):
+        return [x.strip(b" ") for x in raw.split(b"\n")]
+    return [normal_bytes(x) for x in raw.split(b"\n")]
+
+
 def _hash(lines: list[bytes]) -> list[int]:
     import xxhash
 
@@ -43,6 +56,24 @@ def shingles(lines: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of every k-character string of the lines (with repeats), lines in order, and each line's number of them."""
     texts = [x.decode("utf-8", "replace") for x in lines]
     size = np.fromiter(map(len, texts), np.int64, len(texts))
+    n = np.maximum(size - k + 1, 0)
+    n[(size < k) & (size > 0)] = 1
+    out, at = np.empty(n.sum(), np.uint64), 0
+    for a, b in _cache_sized(size):
+        h = _shingles(texts[a:b], lines[a:b], size[a:b], k)
+        out[at : at + len(h)] = h
+        at += len(h)
+    return out, n
+
+
+def _cache_sized(size: np.ndarray, most: int = 1 << 15) -> list[tuple[int, int]]:
+    """Ranges of lines of about `most` elements each, so that arrays of them stay in cache."""
+    starts = np.cumsum(size) - size
+    marks = np.unique(np.concatenate([np.searchsorted(starts, np.arange(0, size.sum(), most)), [len(size)]])).tolist()
+    return list(zip(marks[:-1], marks[1:], strict=True))
+
+
+def _shingles(texts: list[str], lines: list[bytes], size: np.ndarray, k: int) -> np.ndarray:
     code = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
     h = _CODE[code & np.uint32(0xFFFF)]
     if len(code) and code.max() > 0xFFFF:
@@ -65,21 +96,19 @@ def shingles(lines: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
     if len(short):
         extra = mix(np.array([x & 0xFFFFFFFFFFFFFFFF for x in _hash([lines[i] for i in short])], np.uint64))
         h = np.insert(h, (np.cumsum(n) - n)[short], extra)
-        n[short] = 1
-    return h, n
+    return h
 
 
 def sets(lines: list[bytes], k: int) -> list[np.ndarray]:
     """Each line's distinct shingle hashes, sorted."""
     h, n = shingles(lines, k)
-    ends = np.cumsum(n)
-    line = np.repeat(np.arange(len(n)), n)
-    order = np.lexsort((h, line))
-    h = h[order]
-    new = np.concatenate([[True], (h[1:] != h[:-1]) | (line[1:] != line[:-1])]) if len(h) else np.empty(0, bool)
-    h, kept = h[new], np.concatenate([[0], np.cumsum(new)])
-    cut = kept[np.concatenate([[0], ends])].tolist()
-    return [h[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    out, cut = [], [0, *np.cumsum(n).tolist()]
+    for a, b in zip(cut[:-1], cut[1:], strict=True):
+        x = h[a:b]
+        x.sort()
+        new = x[1:] != x[:-1]
+        out.append(x if new.all() else x[np.concatenate([[True], new])])
+    return out
 
 
 def minima(h: np.ndarray, n: np.ndarray, perms: int) -> np.ndarray:
@@ -107,8 +136,8 @@ def _occurrences(k: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in text_slices(batches):
             out, fresh = [], {}
-            for i, th, text in zip(s.column("id").to_pylist(), s.column("th").to_pylist(), s.column("text").to_pylist(), strict=True):
-                lines = [(no, x) for no, x in enumerate(map(normal, (text or "").split("\n"))) if x]
+            for i, th, text in zip(s.column("id").to_pylist(), s.column("th").to_pylist(), s.column("text").cast(pa.binary()).to_pylist(), strict=True):
+                lines = [(no, x) for no, x in enumerate(normals(text or b"")) if x]
                 for (no, x), lh in zip(lines, _hash([x for _, x in lines]), strict=True):
                     out.append((lh, i, th, no, fresh.setdefault(lh, (len(fresh), x))[0]))
             if not out:
@@ -132,10 +161,10 @@ def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The wanted lines of each document, normalised."""
     for s in text_slices(batches):
         ids, lines = [], []
-        for text, want in zip(s.column("text").to_pylist(), s.column("want").to_pylist(), strict=True):
-            split = text.split("\n")
+        for text, want in zip(s.column("text").cast(pa.binary()).to_pylist(), s.column("want").to_pylist(), strict=True):
+            split = text.split(b"\n")
             ids += [w["lh"] for w in want]
-            lines += [normal(split[w["no"]]) for w in want]
+            lines += [normal_bytes(split[w["no"]].lower()) for w in want]
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lines, pa.binary())], names=["id", "tokens"])
 
 

@@ -3,6 +3,9 @@ import random
 import time
 from collections import Counter, defaultdict
 
+import numpy as np
+import pytest
+
 from cliploom.llm import line_dedup
 
 SCHEMA = "doc_id long, text string, th int, lines string"
@@ -114,3 +117,22 @@ def test_recall_of_the_shipped_bands(spark):
     alike = {n for n in range(len(lines)) if find(n) != n}  # all but the first line of each component
     assert gone <= alike and len(gone) >= 0.9 * len(alike)
     print("recall", len(gone) / len(alike), "of", len(alike))
+
+
+def test_lines_of_a_text_are_normalised_as_each_alone():
+    texts = ["", "\n", "One two\nOne  two\n", " A\tb \n\x0bC\x0c\r\nd", "ÉtÉ \u0085 x\n y", "plain\n lead\ntrail \n\n", "a\x1cb \x1c\nB"]
+    for x in texts:
+        assert line_dedup.normals(x.encode()) == [line_dedup.normal(line) for line in x.split("\n")]
+
+
+def test_sets_do_not_depend_on_the_parts_that_are_hashed_at_once():
+    lines = [b"", b"ab", b"x" * 70_000, "é\U0001d11e".encode() * 9, *(f"line {i} of words {i * 7919 % 104729}".encode() for i in range(3000)), b"0123456789"]
+    alone = [line_dedup.sets([x], 10)[0] for x in lines]
+    assert all(np.array_equal(a, b) for a, b in zip(line_dedup.sets(lines, 10), alone, strict=True))
+    assert [len(x) for x in alone[:4]] == [0, 1, 1, 2]
+    assert len(line_dedup._cache_sized(np.array([len(x) for x in lines]))) > 3
+
+
+def test_no_sort_of_all_shingles_at_once(monkeypatch):
+    monkeypatch.setattr(np, "lexsort", lambda *_: pytest.fail("all lines' shingles are sorted together"))
+    assert [len(x) for x in line_dedup.sets([b"0123456789ab", b"0000000000000"], 10)] == [3, 1]
